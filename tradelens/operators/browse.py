@@ -74,7 +74,7 @@ def matched_orders_page(
     ranked = _listable(matched_orders, create_orders, swaps, successful, created_before).orderBy(*_order())
     top = ranked.offset(offset).limit(per_page) if offset else ranked.limit(per_page)
     # at most per_page rows: numbering them in one window partition is bounded
-    top = top.withColumn("row_no", F.row_number().over(Window.orderBy(*_order())) + F.lit(offset))
+    top = top.withColumn("row_no", (F.row_number().over(Window.orderBy(*_order())) + F.lit(offset)).cast("long"))
     small = F.broadcast(top) if per_page <= MAX_BROADCAST_PAGE_ROWS else top
     co = create_orders.select(F.col("create_id").alias("create_order_id"), F.struct("*").alias("create_order"))
     ss = swaps.select(F.col("swap_id").alias("source_swap_id"), F.struct("*").alias("source_swap"))
