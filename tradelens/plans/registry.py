@@ -61,11 +61,11 @@ class _State:
     re-planning the whole lineage.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, base: str | None = None):
         ensure_utc(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.base = f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{STATE_VERSION}/{_tag(sf_dir)}"
+        self.base = base or f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{STATE_VERSION}/{_tag(sf_dir)}"
         self.window = parse_window(WINDOW_START, WINDOW_END)
         self._src: Sources | None = None
         self._stored: DataFrame | None = None
@@ -136,10 +136,11 @@ def _complete(spark: SparkSession, path: str) -> bool:
 _STATES: dict[tuple[int, str], _State] = {}
 
 
-def state(spark: SparkSession, sf_dir: str) -> _State:
+def state(spark: SparkSession, sf_dir: str, base: str | None = None) -> _State:
+    """The tables for ``sf_dir``; ``base`` picks (and replaces) the folder they are written to."""
     key = (id(spark), sf_dir)
-    if key not in _STATES:
-        _STATES[key] = _State(spark, sf_dir)
+    if key not in _STATES or (base is not None and _STATES[key].base != base):
+        _STATES[key] = _State(spark, sf_dir, base)
     return _STATES[key]
 
 
