@@ -7,8 +7,10 @@ set operation:
     timestamp_candidates -> lookup_requests -> resolve_* (equi joins) -> enriched_orders
 
 Scale notes:
-* Requests whose lookup key is NULL never enter a join (they cannot resolve,
-  and NULL keys would all hash to one task).
+* Every request passes at most one transaction join and one block join; the
+  requests are never recomputed per lookup kind.
+* A request without a key cannot match: it skips the transaction join, and its
+  block key is salted so that keyless rows never pile up in one task.
 * Lookup tables are reduced to one row per key before the join; the reduction
   is hash-partitioned on the join key, so the join reuses it without another
   shuffle, and no request is ever multiplied by a repeated key.
@@ -122,69 +124,68 @@ def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
 
+_OUT = ["create_order_id", "event", "chain", "block_time"]
+
+
+def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | None) -> DataFrame:
+    """One plan for any mix of requests: at most one transaction join and one block join.
+
+    * transaction requests join ``transactions`` on (chain, hash) - bitcoin
+      hashes cut at ':';
+    * then every request that still needs a block joins ``blocks`` once on
+      (chain, block): its own block number (block chains, and bitcoin when the
+      tx has no time) or the tx's block (ethereum, arbitrum).
+    Requests without a key skip the join they cannot match, so no NULL key is
+    ever shuffled.
+    """
+    by_block = requests.where(F.col("lookup") == "block").select(
+        *_OUT[:3], F.col("block_number").alias("blk"), F.lit(None).cast("long").alias("tx_time")
+    )
+    staged = by_block
+    if transactions is not None:
+        tx_req = requests.where(F.col("lookup") == "transaction").withColumn(
+            "tx_hash", F.when(F.col("chain") == "bitcoin", tx_hash_head("tx_hash")).otherwise(F.col("tx_hash"))
+        )
+        tx = tx_req.join(tx_records(transactions), ["chain", "tx_hash"], "left")
+        is_btc = F.col("chain") == "bitcoin"
+        blk = (
+            F.when(is_btc & ~_truthy(F.col("tx_time")), F.col("block_number"))
+            .when(~is_btc & _truthy(F.col("tx_block_number")), F.col("tx_block_number"))
+        )
+        tx_time = F.when(is_btc & _truthy(F.col("tx_time")), F.col("tx_time"))
+        staged = staged.unionByName(tx.select(*_OUT[:3], blk.alias("blk"), tx_time.alias("tx_time")))
+    # Rows with no block to look up keep a salted negative key: they spread evenly
+    # over the shuffle (a NULL key would send them all to one task) and match no
+    # block (block numbers are never negative).
+    salt = -(F.pmod(F.xxhash64("create_order_id", "event"), F.lit(1 << 30)) + 1)
+    keyed = staged.withColumn("k", F.coalesce(F.col("blk"), salt))
+    bt = block_times(blocks).withColumnRenamed("block_number", "k")
+    found = F.when(_truthy(F.col("found_time")), F.col("found_time"))
+    return keyed.join(bt, ["chain", "k"], "left").select(
+        *_OUT[:3], F.when(F.col("blk").isNotNull(), found).otherwise(F.col("tx_time")).alias("block_time")
+    )
+
+
 def resolve_by_block(requests: DataFrame, blocks: DataFrame) -> DataFrame:
     """Block-number chains (base, bera, unichain, starknet, hyperliquid): block -> time."""
-    req = requests.where((F.col("lookup") == "block") & F.col("block_number").isNotNull())
-    j = req.join(block_times(blocks), ["chain", "block_number"], "left")
-    return j.select(
-        "create_order_id",
-        "event",
-        "chain",
-        F.when(_truthy(F.col("found_time")), F.col("found_time")).alias("block_time"),
-    )
+    return _resolve(requests.where(F.col("lookup") == "block"), blocks, None)
 
 
 def resolve_by_transaction(requests: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
     """ethereum, arbitrum: tx hash -> the tx's block -> time."""
-    req = requests.where(F.col("chain").isin("ethereum", "arbitrum") & present("tx_hash"))
-    tx = req.join(tx_records(transactions), ["chain", "tx_hash"], "left")
-    bt = block_times(blocks).withColumnRenamed("block_number", "tx_block_number")
-    j = tx.where(_truthy(F.col("tx_block_number"))).join(bt, ["chain", "tx_block_number"], "left")
-    resolved = j.select(
-        "create_order_id",
-        "event",
-        "chain",
-        F.when(_truthy(F.col("found_time")), F.col("found_time")).alias("block_time"),
-    )
-    unresolved = tx.where(~_truthy(F.col("tx_block_number"))).select(
-        "create_order_id", "event", "chain", F.lit(None).cast("long").alias("block_time")
-    )
-    return resolved.unionByName(unresolved)
+    req = requests.where(F.col("chain").isin("ethereum", "arbitrum") & (F.col("lookup") == "transaction"))
+    return _resolve(req, blocks, transactions)
 
 
 def resolve_bitcoin(requests: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
     """bitcoin: the tx's own time (hash cut at ':'); else the order's block number -> time."""
-    req = requests.where((F.col("chain") == "bitcoin") & present("tx_hash")).withColumn(
-        "tx_hash", tx_hash_head("tx_hash")
-    )
-    tx = req.join(tx_records(transactions), ["chain", "tx_hash"], "left")
-    direct = tx.where(_truthy(F.col("tx_time"))).select(
-        "create_order_id", "event", "chain", F.col("tx_time").alias("block_time")
-    )
-    fallback = tx.where(~_truthy(F.col("tx_time")))
-    via_block = (
-        fallback.where(F.col("block_number").isNotNull())
-        .join(block_times(blocks), ["chain", "block_number"], "left")
-        .select(
-            "create_order_id",
-            "event",
-            "chain",
-            F.when(_truthy(F.col("found_time")), F.col("found_time")).alias("block_time"),
-        )
-    )
-    no_block = fallback.where(F.col("block_number").isNull()).select(
-        "create_order_id", "event", "chain", F.lit(None).cast("long").alias("block_time")
-    )
-    return direct.unionByName(via_block).unionByName(no_block)
+    req = requests.where((F.col("chain") == "bitcoin") & (F.col("lookup") == "transaction"))
+    return _resolve(req, blocks, transactions)
 
 
 def resolve_all(requests: DataFrame, blocks: DataFrame, transactions: DataFrame) -> DataFrame:
     """Every request with its found time (epoch seconds) or NULL."""
-    return (
-        resolve_by_block(requests, blocks)
-        .unionByName(resolve_by_transaction(requests, transactions, blocks))
-        .unionByName(resolve_bitcoin(requests, transactions, blocks))
-    )
+    return _resolve(requests, blocks, transactions)
 
 
 def enriched_orders(final_orders: DataFrame, resolved: DataFrame) -> DataFrame:
