@@ -15,7 +15,8 @@ selection on the non-negative microsecond values:
 
 Each level is a partial (map-side) aggregation, then a running count over at
 most 2^21 buckets per (route, metric, quartile) picks the bucket holding the
-rank and the rank left within it. No task ever holds more than 2^21 buckets,
+rank and the rank left within it. Level 1 takes n from its own histogram (the
+sum of its buckets), so it does not wait for a separate count. No task ever holds more than 2^21 buckets,
 however many rows a route has. The per-level state has one row per (route,
 metric, quartile), at most len(chains)^2 * 4 * 2 rows, and is broadcast.
 """
@@ -54,6 +55,44 @@ def quartile_targets(counts: DataFrame, metrics: tuple[str, ...] = FENCED_METRIC
     return long.select(*ROUTE, "metric", "n", F.explode(qs).alias("q")).withColumn("rank", rank)
 
 
+def _pick(running: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose bucket holds the wanted rank; the rank left inside the bucket."""
+    return running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
+        *keys,
+        "q",
+        (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"),
+        F.col("bucket").alias("prefix"),
+    )
+
+
+def _first_level(values: DataFrame, keys: list[str], shift: int) -> DataFrame:
+    """Level 1 needs no targets: n comes from the same histogram (the sum of its buckets)."""
+    hist = values.groupBy(*keys, F.shiftright(F.col("v"), shift).alias("bucket")).agg(F.count(F.lit(1)).alias("cnt"))
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = hist.select(
+        *keys, "bucket", "cnt", F.sum("cnt").over(upto).alias("upto"), (F.sum("cnt").over(whole) + 1).alias("n1")
+    )
+    # rank floor(q * (n + 1) / 4) for q = 1, 3; division by 4 is exact in binary floating point
+    targets = F.array(
+        *[
+            F.struct(
+                F.lit(q).alias("q"),
+                F.greatest(F.lit(1).cast("long"), F.floor(q * F.col("n1") / 4).cast("long")).alias("r"),
+            )
+            for q in (1, 3)
+        ]
+    )
+    ranked = counted.select(*keys, "bucket", "cnt", "upto", F.inline(targets))
+    return _pick(ranked, keys)
+
+
+def select_quartiles(values: DataFrame, keys: list[str]) -> DataFrame:
+    """The values at the q1 and q3 ranks of every key group: keys + ``q`` + ``value``."""
+    state = _first_level(values, keys, LEVEL_SHIFTS[0])
+    return _refine(values, state, keys, LEVEL_SHIFTS[0], LEVEL_SHIFTS[1:])
+
+
 def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     """The value at ``rank`` (1-based, ascending) for every target row.
 
@@ -61,8 +100,11 @@ def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> Data
     Returns keys + ``q`` + ``value``.
     """
     state = targets.select(*keys, "q", F.col("rank").alias("r"), F.lit(0).cast("long").alias("prefix"))
-    prev = _TOP_SHIFT
-    for shift in LEVEL_SHIFTS:
+    return _refine(values, state, keys, _TOP_SHIFT, LEVEL_SHIFTS)
+
+
+def _refine(values: DataFrame, state: DataFrame, keys: list[str], prev: int, shifts) -> DataFrame:
+    for shift in shifts:
         hist = (
             values.join(F.broadcast(state), keys)
             .where(F.shiftright(F.col("v"), prev) == F.col("prefix"))
@@ -70,13 +112,7 @@ def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> Data
             .agg(F.count(F.lit(1)).alias("cnt"))
         )
         w = Window.partitionBy(*keys, "q").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        running = hist.withColumn("upto", F.sum("cnt").over(w))
-        state = running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
-            *keys,
-            "q",
-            (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"),
-            F.col("bucket").alias("prefix"),
-        )
+        state = _pick(hist.withColumn("upto", F.sum("cnt").over(w)), keys)
         prev = shift
     return state.select(*keys, "q", F.col("prefix").alias("value"))
 
@@ -84,7 +120,7 @@ def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> Data
 def route_quartiles_us(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
     """Per route with eligible orders: ``q1_<m>_us``, ``q3_<m>_us`` (NULL when the metric has no value)."""
     counts = route_metric_counts(durations_us, metrics)
-    picked = select_ranks(metric_values(durations_us, metrics), quartile_targets(counts, metrics), [*ROUTE, "metric"])
+    picked = select_quartiles(metric_values(durations_us, metrics), [*ROUTE, "metric"])
     wide = picked.groupBy(*ROUTE).agg(
         *[
             F.max(F.when((F.col("metric") == m) & (F.col("q") == q), F.col("value"))).alias(f"q{q}_{m}_us")

@@ -128,9 +128,12 @@ def _tag(sf_dir: str) -> str:
 
 def _complete(spark: SparkSession, path: str) -> bool:
     """A folder written to the end by a Spark job (its ``_SUCCESS`` marker exists)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM handle (Spark Connect): rebuild the table
+        return False
 
 
 _STATES: dict[tuple[int, str], _State] = {}

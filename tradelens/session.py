@@ -38,7 +38,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster it is set by the cluster; only when it is unset (local tests)
     a private temporary folder is chosen.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the setting must come from the session
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
