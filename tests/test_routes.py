@@ -106,3 +106,33 @@ def test_radix_matches_row_number_on_analysis(spark):
     fast = sorted(map(tuple, Q.route_quartiles_us(a.durations_us).collect()))
     slow = sorted(map(tuple, Q.route_quartiles_by_row_number(a.durations_us).collect()))
     assert fast == slow
+
+
+def test_averages_document_and_route_files(spark):
+    import glob
+    import json
+    import os
+
+    from tradelens.plans.pipelines import averages_report
+    from tradelens.session import checkpoint_dir
+
+    rep = averages_report(_orders(spark), *W)
+    doc = json.loads(rep["document"].collect()[0].document)
+    assert len(doc["averages"]) == 64 and doc["averages"]["arbitrum-arbitrum"]["total_orders"] == 0
+    assert doc["averages"]["base-base"]["total_orders"] >= 1
+    assert set(doc["thresholds"]["base-base"]) == {"user_init_duration", "cobi_init_duration", "user_redeem_duration", "cobi_redeem_duration"}
+    assert doc["last_updated"] == "1970-01-01T00:00:00.000Z"  # no block numbers in these rows
+
+    a = analysis(_orders(spark), *W)
+    out = f"{checkpoint_dir(spark)}/route-docs-test"
+    R.write_orders_by_route(R.orders_by_route(R.normal_orders(a.durations_us, a.quartiles_us)), out)
+    local = out[len("file:"):] if out.startswith("file:") else out
+    routes = sorted(os.path.basename(p) for p in glob.glob(f"{local}/route=*"))
+    assert routes == ["route=base-base", "route=bera-starknet"]
+    n_docs = 0
+    for f in glob.glob(f"{local}/route=base-base/*.txt"):
+        stamps = [json.loads(x)["created_at"] for x in open(f)]
+        assert stamps == sorted(stamps)  # each file in created_at order
+        n_docs += len(stamps)
+    normal = R.normal_orders(a.durations_us, a.quartiles_us)
+    assert n_docs == normal.where("source_chain = 'base' AND destination_chain = 'base'").count()

@@ -85,9 +85,12 @@ def analysis(
 def averages_report(final_orders: DataFrame, start_time=None, end_time=None, chains=SUPPORTED_CHAINS):
     """What the averages endpoint answered: last_updated, the route grid, and fences."""
     a = analysis(final_orders, start_time, end_time, chains)
-    avgs = routes.route_averages(a.normal_us)
+    last = routes.last_updated(final_orders)
+    grid = routes.route_matrix(routes.route_averages(a.normal_us), chains)
+    fences = routes.route_fences(a.quartiles_us)
     return {
-        "last_updated": routes.last_updated(final_orders),
-        "averages": routes.route_matrix(avgs, chains),
-        "thresholds": routes.route_fences(a.quartiles_us),
+        "last_updated": last,
+        "averages": grid,
+        "thresholds": fences,
+        "document": routes.averages_document(last, grid, fences),
     }
