@@ -80,7 +80,9 @@ class _State:
             for name in ("create_orders", "matched_orders", "swaps", "blocks", "transactions"):
                 path = f"{self.base}/{name}"
                 if not _complete(self.spark, path):
-                    getattr(derived, name).write.mode("overwrite").parquet(path)
+                    # one file per core at least, so that scans of these small tables run in parallel
+                    parts = max(self.spark.sparkContext.defaultParallelism, 1)
+                    getattr(derived, name).repartition(parts).write.mode("overwrite").parquet(path)
                 tables[name] = self.spark.read.parquet(path)
             self._src = Sources(**tables)
         return self._src
@@ -119,7 +121,7 @@ class _State:
         return self._an
 
 
-STATE_VERSION = "v1"
+STATE_VERSION = "v2"
 
 
 def _tag(sf_dir: str) -> str:
