@@ -30,7 +30,7 @@ _LEG_FIELDS = (
 )
 
 
-def settled_swap(s: DataFrame | None = None) -> Column:
+def settled_swap() -> Column:
     """A swap leg that finished: redeemed or refunded, with blocks on chain.
 
     AND binds before OR: (redeem hash set OR refund hash set) AND

@@ -56,6 +56,12 @@ def enrich_store(spark: SparkSession, sources: Sources, table_path: str, snapsho
     return store.read_orders_table(spark, snapshot_path)
 
 
+def read_window(spark: SparkSession, table_path: str, start_time=None, end_time=None) -> DataFrame:
+    """The stored table restricted to the months the window touches (partition pruning)."""
+    start, end = dur.parse_window(start_time, end_time)
+    return store.read_orders_table(spark, table_path, start, end)
+
+
 @dataclass(frozen=True)
 class Analysis:
     durations_us: DataFrame
