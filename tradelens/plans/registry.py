@@ -9,8 +9,11 @@ form the service answered with, and nested rows are flattened.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,14 +61,15 @@ class _State:
     Like the service's databases: the source tables, the analysis table after
     the sync (``stored``) and after enrichment (``enriched``). Queries over a
     stored table read Parquet with pushed filters and pruned columns instead of
-    re-planning the whole lineage.
+    re-planning the whole lineage. The folder name carries a hash of the code
+    that builds the tables, so a table is reused only by the same code.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, base: str | None = None):
         ensure_utc(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.base = base or f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{STATE_VERSION}/{_tag(sf_dir)}"
+        self.base = base or f"{_state_root(spark).rstrip('/')}/tradelens-{STATE_VERSION}/{_tag(sf_dir)}"
         self.window = parse_window(WINDOW_START, WINDOW_END)
         self._src: Sources | None = None
         self._stored: DataFrame | None = None
@@ -76,14 +80,14 @@ class _State:
     def src(self) -> Sources:
         if self._src is None:
             derived = derive_sources(self.spark, self.sf_dir)
+            # one file per core at least, so that scans of these small tables run in parallel
+            parts = max(self.spark.sparkContext.defaultParallelism, 1)
             tables = {}
             for name in ("create_orders", "matched_orders", "swaps", "blocks", "transactions"):
                 path = f"{self.base}/{name}"
-                if not _complete(self.spark, path):
-                    # one file per core at least, so that scans of these small tables run in parallel
-                    parts = max(self.spark.sparkContext.defaultParallelism, 1)
-                    getattr(derived, name).repartition(parts).write.mode("overwrite").parquet(path)
-                tables[name] = self.spark.read.parquet(path)
+                df = getattr(derived, name)
+                done = _write_once(self.spark, path, lambda p, df=df: df.repartition(parts).write.parquet(p))
+                tables[name] = self.spark.read.parquet(done)
             self._src = Sources(**tables)
         return self._src
 
@@ -92,9 +96,10 @@ class _State:
         """The analysis table after one sync into an empty table."""
         if self._stored is None:
             path = f"{self.base}/final_orders_synced"
-            if not _complete(self.spark, path):
-                store.write_orders(new_orders(self.src, existing=None), path, mode="overwrite")
-            self._stored = store.read_orders_table(self.spark, path)
+            done = _write_once(
+                self.spark, path, lambda p: store.write_orders(new_orders(self.src, existing=None), p, "errorifexists")
+            )
+            self._stored = store.read_orders_table(self.spark, done)
         return self._stored
 
     @property
@@ -106,38 +111,97 @@ class _State:
         """The analysis table after one enrichment pass (a new snapshot)."""
         if self._enriched is None:
             path = f"{self.base}/final_orders_enriched"
-            if not _complete(self.spark, path):
-                store.write_orders(self.run.enriched, path, mode="overwrite")
-            self._enriched = store.read_orders_table(self.spark, path)
+            self._enriched_path = _write_once(
+                self.spark, path, lambda p: store.write_orders(self.run.enriched, p, "errorifexists")
+            )
+            self._enriched = store.read_orders_table(self.spark, self._enriched_path)
         return self._enriched
 
     @property
     def an(self) -> Analysis:
         if self._an is None:
-            path = f"{self.base}/final_orders_enriched"
             self.enriched  # written if missing
-            pruned = store.read_orders_table(self.spark, path, *self.window)
+            pruned = store.read_orders_table(self.spark, self._enriched_path, *self.window)
             self._an = analysis(pruned, WINDOW_START, WINDOW_END)
         return self._an
 
 
-STATE_VERSION = "v2"
+def _code_hash() -> str:
+    """Hash of the modules that decide the stored tables' contents."""
+    root = Path(__file__).resolve().parent.parent
+    h = hashlib.sha1()
+    for rel in sorted(
+        [
+            "config.py",
+            "functions/columns.py",
+            "sources/fixtures.py",
+            "sources/schemas.py",
+            "sources/store.py",
+            "operators/settle.py",
+            "operators/enrich.py",
+            "plans/pipelines.py",
+        ]
+    ):
+        h.update((root / rel).read_bytes())
+    return h.hexdigest()[:12]
+
+
+STATE_VERSION = _code_hash()
+
+
+def _state_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir`` itself (shared across sessions), else the session's."""
+    try:
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or checkpoint_dir(spark)
 
 
 def _tag(sf_dir: str) -> str:
     return re.sub(r"[^A-Za-z0-9._-]+", "_", sf_dir.strip("/")) or "root"
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _complete(spark: SparkSession, path: str) -> bool:
     """A folder written to the end by a Spark job (its ``_SUCCESS`` marker exists)."""
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        p, fs = _fs(spark, f"{path}/_SUCCESS")
+        return bool(fs.exists(p))
     except Exception:  # no JVM handle (Spark Connect): rebuild the table
         return False
 
 
+def _write_once(spark: SparkSession, path: str, write) -> str:
+    """Write a table unless a complete one is there: into a fresh folder, then renamed into place.
+
+    A failed or concurrent writer never leaves a half-written table at ``path``.
+    Returns the folder to read.
+    """
+    if _complete(spark, path):
+        return path
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    try:
+        dst, fs = _fs(spark, path)
+        src, _ = _fs(spark, tmp)
+    except Exception:  # no JVM handle (Spark Connect): read the fresh folder itself
+        return tmp
+    if not _complete(spark, path):
+        if fs.exists(dst):
+            fs.delete(dst, True)  # an incomplete earlier attempt
+        if not fs.rename(src, dst) and not _complete(spark, path):
+            raise RuntimeError(f"could not publish {path}")
+    if fs.exists(src):
+        fs.delete(src, True)  # another writer finished first
+    return path
+
+
 _STATES: dict[tuple[int, str], _State] = {}
 
 
