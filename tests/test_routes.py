@@ -136,3 +136,9 @@ def test_averages_document_and_route_files(spark):
         n_docs += len(stamps)
     normal = R.normal_orders(a.durations_us, a.quartiles_us)
     assert n_docs == normal.where("source_chain = 'base' AND destination_chain = 'base'").count()
+
+
+def test_averages_by_route_map(spark):
+    a = analysis(_orders(spark), *W)
+    m = R.averages_by_route(R.route_matrix(R.route_averages(a.normal_us))).collect()[0].averages
+    assert len(m) == 64 and m["bera-starknet"]["total_orders"] == 1 and m["arbitrum-base"]["avg_user_init_duration"] is None

@@ -283,3 +283,16 @@ def averages_document(last_updated_df: DataFrame, matrix: DataFrame, fences: Dat
             F.lit("}"),
         ).alias("document")
     )
+
+
+def averages_by_route(matrix: DataFrame) -> DataFrame:
+    """One row: ``map<route, struct<total_orders, six averages>>`` over the route grid.
+
+    The grid has exactly len(chains)^2 rows, so the map is bounded by the chain
+    list, not by the data. Entries are in route order.
+    """
+    entry = F.struct(
+        F.col("route").alias("key"),
+        F.struct("total_orders", *[f"avg_{m}_duration" for m in ALL_METRICS]).alias("value"),
+    )
+    return matrix.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("averages"))
