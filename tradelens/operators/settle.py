@@ -14,7 +14,7 @@ Plan shape (chosen for large inputs):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import blank_to_null, positive, present
@@ -131,9 +131,21 @@ _FIRST_WINS = ["source_swap_id", "destination_swap_id", "created_at", "source_ch
 
 
 def first_per_order(candidates: DataFrame) -> DataFrame:
-    """One candidate per ``create_order_id``: the first in a fixed order."""
-    w = Window.partitionBy("create_order_id").orderBy(*[F.col(c).asc_nulls_last() for c in _FIRST_WINS])
-    return candidates.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One candidate per ``create_order_id``: the smallest by ``_FIRST_WINS`` (NULLs first), then the rest.
+
+    A grouped ``min`` of the packed row: after the settle fold the rows already
+    arrive partitioned and sorted by ``create_order_id``, so this streams
+    through them with no further shuffle or sort (a row_number window would
+    sort them again).
+    """
+    rest = [c for c in candidates.columns if c != "create_order_id" and c not in _FIRST_WINS]
+    packed = F.struct(*[F.col(c) for c in _FIRST_WINS + rest])
+    return (
+        candidates.groupBy("create_order_id")
+        .agg(F.min(packed).alias("_first"))
+        .select("create_order_id", "_first.*")
+        .select(*candidates.columns)
+    )
 
 
 def append_new_orders(candidates: DataFrame, existing: DataFrame | None) -> DataFrame:
