@@ -188,12 +188,12 @@ def resolve_all(requests: DataFrame, blocks: DataFrame, transactions: DataFrame)
     return _resolve(requests, blocks, transactions)
 
 
-def enriched_orders(final_orders: DataFrame, resolved: DataFrame) -> DataFrame:
-    """The table with found times filled in; a set time is never overwritten.
+def enriched_parts(final_orders: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(untouched, merged): rows that cannot change, and the candidate rows with found times filled.
 
     ``resolved`` must come from ``lookup_requests`` over the same table, so only
     rows passing the candidate gate can change: those are merged by key, the
-    rest pass through without a shuffle.
+    rest pass through without a shuffle. A set time is never overwritten.
     """
     found = resolved.where(F.col("block_time").isNotNull()).groupBy("create_order_id").agg(
         *[F.max(F.when(F.col("event") == e, F.col("block_time"))).alias(f"_found_{e}") for e in EVENTS]
@@ -207,6 +207,12 @@ def enriched_orders(final_orders: DataFrame, resolved: DataFrame) -> DataFrame:
         ]
     )
     untouched = final_orders.where(~F.coalesce(gate, F.lit(False))).select(*FINAL_ORDER_COLUMNS)
+    return untouched, merged
+
+
+def enriched_orders(final_orders: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The table with found times filled in; a set time is never overwritten."""
+    untouched, merged = enriched_parts(final_orders, resolved)
     return untouched.unionByName(merged)
 
 

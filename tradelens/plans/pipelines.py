@@ -51,8 +51,9 @@ def enrich_store(spark: SparkSession, sources: Sources, table_path: str, snapsho
     """Fill timestamps; writes the updated table to a new snapshot path (never the one read)."""
     if snapshot_path.rstrip("/") == table_path.rstrip("/"):
         raise ValueError("enrichment must write a new snapshot, not the table it reads")
-    run = enrichment(store.read_orders_table(spark, table_path), sources)
-    store.write_orders(run.enriched, snapshot_path, mode="overwrite")
+    table = store.read_orders_table(spark, table_path)
+    run = enrichment(table, sources)
+    store.write_snapshot(*enrich.enriched_parts(table, run.resolved), snapshot_path)
     return store.read_orders_table(spark, snapshot_path)
 
 

@@ -112,7 +112,7 @@ class _State:
         if self._enriched is None:
             path = f"{self.base}/final_orders_enriched"
             self._enriched_path = _write_once(
-                self.spark, path, lambda p: store.write_orders(self.run.enriched, p, "errorifexists")
+                self.spark, path, lambda p: store.write_snapshot(*enrich.enriched_parts(self.stored, self.run.resolved), p)
             )
             self._enriched = store.read_orders_table(self.spark, self._enriched_path)
         return self._enriched

@@ -68,3 +68,19 @@ def write_orders(df: DataFrame, path: str, mode: str = "append") -> None:
         .partitionBy(PARTITION_COLUMN)
         .parquet(path)
     )
+
+
+def write_snapshot(untouched: DataFrame, changed: DataFrame, path: str) -> None:
+    """A new snapshot from rows read unchanged from a stored snapshot plus changed rows.
+
+    Unchanged rows keep their month clustering and are written without a
+    shuffle; only the changed rows are range-clustered on ``created_at``.
+    """
+    (
+        untouched.select(*FINAL_ORDER_COLUMNS)
+        .unionByName(changed.select(*FINAL_ORDER_COLUMNS).repartitionByRange("created_at", "create_order_id"))
+        .withColumn(PARTITION_COLUMN, _month("created_at"))
+        .write.mode("errorifexists")
+        .partitionBy(PARTITION_COLUMN)
+        .parquet(path)
+    )

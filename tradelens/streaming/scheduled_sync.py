@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import enrich
 from ..plans.pipelines import enrichment, new_orders
 from ..sources import store
 from ..sources.fixtures import Sources
@@ -28,5 +29,6 @@ def run_once(spark: SparkSession, sources: Sources, current_path: str | None, ne
     existing = store.ensure_table(spark, current_path) if current_path else None
     added = new_orders(sources, existing)
     table = added if existing is None else existing.unionByName(added)
-    store.write_orders(enrichment(table, sources).enriched, next_path, mode="overwrite")
+    untouched, merged = enrich.enriched_parts(table, enrichment(table, sources).resolved)
+    store.write_snapshot(untouched, merged, next_path)
     return store.read_orders_table(spark, next_path)
