@@ -61,3 +61,7 @@ ALL_METRICS: tuple[str, ...] = (
 
 # Largest page that is attached to the wide tables with a broadcast join.
 MAX_BROADCAST_PAGE_ROWS: int = 100_000
+
+# A lookup key with at least this many rows is joined by broadcast of its lookup row
+# instead of in one shuffle task; at most rows / HOT_KEY_ROWS keys can qualify.
+HOT_KEY_ROWS: int = 1 << 20

@@ -14,7 +14,8 @@ Scale notes:
 * Lookup tables are reduced to one row per key before the join; the reduction
   is hash-partitioned on the join key, so the join reuses it without another
   shuffle, and no request is ever multiplied by a repeated key.
-* A hot key (many orders in one block) is split by AQE's skew-join handling.
+* A hot key (many orders in one block or one transaction) is joined by a
+  broadcast of its lookup row instead of in one task (``joins.lookup_join``).
 * Only orders that pass the candidate gate are shuffled for the merge; all
   other rows pass through untouched.
 """
@@ -26,9 +27,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EVENT_SIDE, EVENTS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
+from ..config import EVENT_SIDE, EVENTS, HOT_KEY_ROWS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
 from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, present, tx_hash_head
 from ..sources.schemas import FINAL_ORDER_COLUMNS
+from .joins import lookup_join
 
 
 def _chain_of(event: str) -> Column:
@@ -127,7 +129,9 @@ def _truthy(c: Column) -> Column:
 _OUT = ["create_order_id", "event", "chain", "block_time"]
 
 
-def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | None) -> DataFrame:
+def _resolve(
+    requests: DataFrame, blocks: DataFrame, transactions: DataFrame | None, hot_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
     """One plan for any mix of requests: at most one transaction join and one block join.
 
     * transaction requests join ``transactions`` on (chain, hash) - bitcoin
@@ -146,7 +150,7 @@ def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | N
         tx_req = requests.where(F.col("lookup") == "transaction").withColumn(
             "tx_hash", F.when(F.col("chain") == "bitcoin", tx_hash_head("tx_hash")).otherwise(F.col("tx_hash"))
         )
-        tx = tx_req.join(tx_records(transactions), ["chain", "tx_hash"], "left")
+        tx = lookup_join(tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_rows)
         is_btc = F.col("chain") == "bitcoin"
         blk = (
             F.when(is_btc & ~_truthy(F.col("tx_time")), F.col("block_number"))
@@ -161,14 +165,14 @@ def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | N
     keyed = staged.withColumn("k", F.coalesce(F.col("blk"), salt))
     bt = block_times(blocks).withColumnRenamed("block_number", "k")
     found = F.when(_truthy(F.col("found_time")), F.col("found_time"))
-    return keyed.join(bt, ["chain", "k"], "left").select(
+    return lookup_join(keyed, bt, ["chain", "k"], hot_rows).select(
         *_OUT[:3], F.when(F.col("blk").isNotNull(), found).otherwise(F.col("tx_time")).alias("block_time")
     )
 
 
-def resolve_by_block(requests: DataFrame, blocks: DataFrame) -> DataFrame:
+def resolve_by_block(requests: DataFrame, blocks: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Block-number chains (base, bera, unichain, starknet, hyperliquid): block -> time."""
-    return _resolve(requests.where(F.col("lookup") == "block"), blocks, None)
+    return _resolve(requests.where(F.col("lookup") == "block"), blocks, None, hot_rows)
 
 
 def resolve_by_transaction(requests: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
