@@ -3,7 +3,9 @@
 from helpers import blocks_df, final_rows
 
 from tradelens.operators import enrich
-from tradelens.operators.joins import lookup_join
+from pyspark.sql import functions as F
+
+from tradelens.operators.joins import hot_keys, lookup_join
 
 
 def _plan(df) -> str:
@@ -24,14 +26,16 @@ def test_hot_block_goes_through_the_broadcast_branch(spark):
 
 def test_lookup_join_split_is_exact(spark):
     left = spark.createDataFrame([(k % 4 if k % 2 else 0, k) for k in range(4000)], "key long, id long")
-    right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 4)], "key long, v string")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(0, 4)], "key long, v string")
     plain = sorted(map(tuple, left.join(right, ["key"], "left").collect()))
-    split = lookup_join(left, right, ["key"], hot_rows=1500)
-    assert sorted(map(tuple, split.select("key", "id", "v").collect())) == plain
-    # key 0 holds half of the rows: it takes the broadcast branch, the rest the shuffle join
+    salt = -(F.col("id") + 1)
+    for hot in (hot_keys(left, ["key"], 1500), spark.createDataFrame([(0,), (1,), (7,)], "key long"), left.select("key").limit(0)):
+        split = lookup_join(left, right, ["key"], hot, salt)
+        assert sorted(map(tuple, split.select("key", "id", "v").collect())) == plain
+    assert [r.key for r in hot_keys(left, ["key"], 1500).collect()] == [0]  # key 0 holds half of the rows
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(lookup_join(left, right, ["key"], hot_rows=1500))
+        plan = _plan(lookup_join(left, right, ["key"], hot_keys(left, ["key"], 1500), salt))
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..config import EVENT_SIDE, EVENTS, HOT_KEY_ROWS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
 from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, present, tx_hash_head
 from ..sources.schemas import FINAL_ORDER_COLUMNS
-from .joins import lookup_join
+from .joins import hot_keys, lookup_join
 
 
 def _chain_of(event: str) -> Column:
@@ -150,7 +150,11 @@ def _resolve(
         tx_req = requests.where(F.col("lookup") == "transaction").withColumn(
             "tx_hash", F.when(F.col("chain") == "bitcoin", tx_hash_head("tx_hash")).otherwise(F.col("tx_hash"))
         )
-        tx = lookup_join(tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_rows)
+        # a hash that matches nothing, unique per request
+        tx_salt = F.concat(F.lit("\u0000"), F.col("create_order_id"), F.lit("\u0000"), F.col("event"))
+        tx = lookup_join(
+            tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_keys(tx_req, ["chain", "tx_hash"], hot_rows), tx_salt
+        )
         is_btc = F.col("chain") == "bitcoin"
         blk = (
             F.when(is_btc & ~_truthy(F.col("tx_time")), F.col("block_number"))
@@ -164,8 +168,15 @@ def _resolve(
     salt = -(F.pmod(F.xxhash64("create_order_id", "event"), F.lit(1 << 30)) + 1)
     keyed = staged.withColumn("k", F.coalesce(F.col("blk"), salt))
     bt = block_times(blocks).withColumnRenamed("block_number", "k")
+    # Hot blocks are counted on the orders' own block numbers (for ethereum and
+    # arbitrum the tx's block is usually the same); any choice gives the same result.
+    hot_blocks = hot_keys(
+        requests.where(F.col("block_number").isNotNull()).select("chain", F.col("block_number").alias("k")),
+        ["chain", "k"],
+        hot_rows,
+    )
     found = F.when(_truthy(F.col("found_time")), F.col("found_time"))
-    return lookup_join(keyed, bt, ["chain", "k"], hot_rows).select(
+    return lookup_join(keyed, bt, ["chain", "k"], hot_blocks, salt).select(
         *_OUT[:3], F.when(F.col("blk").isNotNull(), found).otherwise(F.col("tx_time")).alias("block_time")
     )
 

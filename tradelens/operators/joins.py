@@ -2,30 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HOT_KEY_ROWS
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys holding at least ``hot_rows`` rows: at most rows(df) / hot_rows of them.
+
+    The count is partially aggregated, so a hot key collapses map-side.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows).select(*keys)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt: Column) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``keys``, where ``right`` has one row per key.
 
-    Keys holding at least ``hot_rows`` left rows (found by a partially
-    aggregated count, so a hot key collapses map-side) are joined map-side
-    against a broadcast of just their right rows; there are at most
-    rows(left) / hot_rows of them. All other keys go through the ordinary
-    shuffle join, which then never sees a hot key. The split needs no
-    hint from AQE and holds whatever the join's children are.
+    ``hot`` lists keys that may hold many left rows (any set gives the same
+    result; see ``hot_keys``). Their right rows - at most as many as ``hot`` has
+    rows - are broadcast and joined map-side. The left rows of hot keys then
+    enter the shuffle join under ``salt`` instead of their key: a value unique
+    per row that matches no right key. So the shuffle spreads them evenly and
+    no task receives a hot key, and ``left`` is read once.
     """
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
+    last = keys[-1]
+    values = [c for c in right.columns if c not in keys]
+    hot_right = right.join(F.broadcast(hot), keys, "left_semi").select(
+        *keys, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
+    )
+    marked = left.join(F.broadcast(hot_right), keys, "left")
+    routed = marked.withColumn("_k", F.when(F.col("_hot"), salt).otherwise(F.col(last)))
+    cold = right.withColumnRenamed(last, "_k")
+    j = routed.join(cold, [*keys[:-1], "_k"], "left")
+    return j.select(
+        *left.columns,
+        *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values],
     )
-    flagged = left.join(F.broadcast(hot), keys, "left")
-    hot_right = right.join(F.broadcast(hot.drop("_hot")), keys, "left_semi")
-    hot_part = flagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_right), keys, "left")
-    cold_part = flagged.where(F.col("_hot").isNull()).drop("_hot").join(right, keys, "left")
-    return hot_part.unionByName(cold_part)
