@@ -8,8 +8,8 @@ Plan shape (chosen for large inputs):
   match. Joining ``swaps`` twice (source leg, destination leg) would shuffle the
   largest table twice and carry ever wider rows through three join stages.
 * The fold-back shuffles by ``create_order_id`` only; the fold, the join with
-  ``create_orders``, the first-wins window and the anti join against the stored
-  table all reuse that partitioning.
+  ``create_orders``, the first-wins pick and the anti join against the stored
+  table all reuse that partitioning and its one sort.
 """
 
 from __future__ import annotations
