@@ -77,3 +77,14 @@ def test_reference_rule_never_interpolates():
         v = list(range(10, 10 * (n + 1), 10))
         for p, num in ((0.25, 1), (0.75, 3)):
             assert reference_quartile(v, p) == v[max(1, (num * (n + 1)) // 4) - 1]
+
+
+def test_select_ranks_any_rank(spark):
+    rng = random.Random(3)
+    vals = {g: [rng.choice([0, 5, 2**22 + 7, 2**43 + 1, rng.randrange(10**12)]) for _ in range(n)] for g, n in (("a", 1), ("b", 50), ("c", 333))}
+    values = spark.createDataFrame([(g, v) for g, vs in vals.items() for v in vs], "g string, v long")
+    wanted = [(g, j, r) for g, vs in sorted(vals.items()) for j, r in enumerate((1, len(vs), (len(vs) + 1) // 2))]
+    targets = spark.createDataFrame(wanted, "g string, q int, rank long")
+    got = {(r.g, r.q): r.value for r in Q.select_ranks(values, targets, ["g"]).collect()}
+    for g, q, r in wanted:
+        assert got[(g, q)] == sorted(vals[g])[r - 1]

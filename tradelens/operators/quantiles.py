@@ -44,17 +44,6 @@ def route_metric_counts(durations_us: DataFrame, metrics: tuple[str, ...] = FENC
     return durations_us.groupBy(*ROUTE).agg(*[F.count(f"{m}_us").alias(f"{m}_count") for m in metrics])
 
 
-def quartile_targets(counts: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
-    """(route, metric, q, n, rank) for every metric with values; q is 1 or 3."""
-    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}_count").alias("n")) for m in metrics])
-    long = counts.select(*ROUTE, F.inline(arr)).where(F.col("n") > 0)
-    qs = F.array(F.lit(1), F.lit(3))
-    n1 = F.col("n") + 1
-    # floor(q * (n + 1) / 4): exact, the division by 4 is exact in binary floating point
-    rank = F.greatest(F.lit(1).cast("long"), F.floor(F.col("q") * n1 / 4).cast("long"))
-    return long.select(*ROUTE, "metric", "n", F.explode(qs).alias("q")).withColumn("rank", rank)
-
-
 def _pick(running: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose bucket holds the wanted rank; the rank left inside the bucket."""
     return running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
@@ -96,8 +85,8 @@ def select_quartiles(values: DataFrame, keys: list[str]) -> DataFrame:
 def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     """The value at ``rank`` (1-based, ascending) for every target row.
 
-    ``values``: keys + ``v`` (non-negative long); ``targets``: keys + ``q`` + ``rank``.
-    Returns keys + ``q`` + ``value``.
+    ``values``: keys + ``v`` (non-negative long); ``targets``: keys + ``q`` + ``rank``,
+    where (keys, ``q``) names one target. Returns keys + ``q`` + ``value``.
     """
     state = targets.select(*keys, "q", F.col("rank").alias("r"), F.lit(0).cast("long").alias("prefix"))
     return _refine(values, state, keys, _TOP_SHIFT, LEVEL_SHIFTS)
