@@ -28,7 +28,10 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFra
     """
     last = keys[-1]
     values = [c for c in right.columns if c not in keys]
-    hot_right = right.join(F.broadcast(hot), keys, "left_semi").select(
+    # an inner join (right and hot are both unique per key): unlike a semi join it is
+    # not pushed below an aggregate that builds ``right``, so it probes that
+    # aggregate's shuffle output, which the shuffle join below reuses
+    hot_right = right.join(F.broadcast(hot), keys, "inner").select(
         *keys, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
     )
     marked = left.join(F.broadcast(hot_right), keys, "left")
