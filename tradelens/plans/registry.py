@@ -139,6 +139,7 @@ def _code_hash() -> str:
             "sources/store.py",
             "operators/settle.py",
             "operators/enrich.py",
+            "operators/joins.py",
             "plans/pipelines.py",
         ]
     ):
