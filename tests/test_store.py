@@ -32,3 +32,8 @@ def test_created_before_bound(spark):
     page = browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 1, 5, created_before="1997-01-01")
     rows = page.collect()
     assert len(rows) == 5 and all(r.created_at.year < 1997 for r in rows)
+
+
+def test_read_source_parquet(spark):
+    df = store.read_source(spark, f"{SF_SMALL}/orders.parquet")
+    assert df.count() == 1500 and "o_orderdate" in df.columns
