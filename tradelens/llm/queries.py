@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, shared_dir
+from .dac import read_documents, write_tokens
 from .naming import exact_dedup
+from .packing import pack
 from .simhash import simhash_dedup
 
 
@@ -19,9 +23,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/tradelens-token-files-{uuid.uuid4().hex}"
+    write_tokens(documents(spark, sf_dir), path)
+    return read_documents(spark, path)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(documents(spark, sf_dir), with_ids=False)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue")
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op9_token_files": op9_token_files,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
