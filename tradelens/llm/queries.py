@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bytebpe
 from .common import documents, shared_dir
 from .dac import read_documents, write_tokens
 from .naming import exact_dedup
@@ -23,6 +24,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = bytebpe.decode(bytebpe.encode(documents(spark, sf_dir)))
+    return texts.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tradelens-token-files-{uuid.uuid4().hex}"
     write_tokens(documents(spark, sf_dir), path)
@@ -37,6 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
