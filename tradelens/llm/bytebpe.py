@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, text_or_empty, written
+from .common import map_arrow, put, slices, text_or_empty, written
 from .lexicon import Lexicon, compile_lexicon
 from .wordids import gather
 
@@ -35,7 +35,7 @@ LEXICON_WORDS = 65_536
 _KEPT_WORDS = 200_000
 _TEXT_BYTES = 8 << 20
 _FLUSH = 300_000
-_WHITE = r"\t-\r \x85\xa0  -     　"
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed value: how byte-level BPE splits text before it merges.
 _WORD = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
@@ -249,7 +249,7 @@ def _count(path: str | None) -> Callable:
 
 def word_counts(docs: DataFrame, text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(word, n) over all documents."""
-    partial = docs.select(text_or_empty(text).alias("text")).mapInArrow(_count(tokenizer), "word string, n long")
+    partial = map_arrow(docs.select(text_or_empty(text).alias("text")), _count(tokenizer), "word string, n long")
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -273,11 +273,7 @@ def build_lexicon(counts: DataFrame, words: int = LEXICON_WORDS, tokenizer: str
 def share(spark: SparkSession, data: bytes) -> str:
     """Put a small file into the shared folder and hand a copy to every executor; its name there."""
     name = f"tradelens-lexicon-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(data))
-    out.close()
-    spark.sparkContext.addFile(path.toString())
+    spark.sparkContext.addFile(put(spark, name, data))
     return name
 
 
@@ -319,11 +315,11 @@ def encode(
     name = share(docs.sparkSession, build_lexicon(counts, words, tokenizer))
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_encode(tokenizer, name), f"id {kind}, ids binary").withColumnRenamed("id", id)
+    return map_arrow(rows, _encode(tokenizer, name), f"id {kind}, ids binary").withColumnRenamed("id", id)
 
 
 def decode(encoded: DataFrame, id: str = "doc_id", ids: str = "ids", tokenizer: str | None = None) -> DataFrame:
     """(``id``, ids, text) per row of ids; bytes that are no UTF-8 become U+FFFD, null ids an empty text."""
     kind = encoded.schema[id].dataType.simpleString()
     rows = encoded.select(F.col(id).alias("id"), F.col(ids).alias("ids"))
-    return rows.mapInArrow(_decode(tokenizer), f"id {kind}, ids binary, text string").withColumnRenamed("id", id)
+    return map_arrow(rows, _decode(tokenizer), f"id {kind}, ids binary, text string").withColumnRenamed("id", id)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -40,6 +43,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def put(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a small file into the shared folder; its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data))
+    out.close()
+    return path.toString()
+
+
+_SHIPPED: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root, data = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(put(spark, f"tradelens-{uuid.uuid4().hex}.zip", data.getvalue()))
+    _SHIPPED.add(app)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    _ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_or_empty(column: str = "text") -> Column:
     """The text with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

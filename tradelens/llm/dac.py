@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import slices, text_or_empty
+from .common import map_arrow, slices, text_or_empty
 from .wordids import word_encoder
 
 END_ID = 2
@@ -140,7 +140,8 @@ def write_tokens(
     ordered = docs.select(F.col(id).alias("id"), raw.alias("text"), F.xxhash64(raw).alias("tie"))
     ordered = ordered.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
     kind = docs.schema[id].dataType
-    out = ordered.mapInArrow(
+    out = map_arrow(
+        ordered,
         _write(to_arrow_type(kind), tokenizer, end_id, segment),
         f"shard int, segment int, n_tokens long, ids array<{kind.simpleString()}>, ends array<bigint>, "
         "levels array<struct<chunks: binary, bits: binary, ranks: binary>>",
@@ -178,5 +179,5 @@ def read_documents(spark: SparkSession, path: str, id: str = "doc_id") -> DataFr
     starts = starts.join(shards, "shard").select("shard", "segment", (F.col("base") + F.col("inner")).alias("start"))
     kind = files.schema["ids"].dataType.elementType.simpleString()
     work = files.join(starts, ["shard", "segment"]).select("ids", "ends", "levels", "start")
-    out = work.mapInArrow(_read, f"id {kind}, start long, n_tokens long, ids_crc32 long")
+    out = map_arrow(work, _read, f"id {kind}, start long, n_tokens long, ids_crc32 long")
     return out.withColumnRenamed("id", id)

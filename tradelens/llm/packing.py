@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty, written
+from .common import map_arrow, slices, text_or_empty, written
 from .wordids import word_encoder
 
 SEQUENCE = 2048
@@ -155,7 +155,8 @@ def pack(
     kind = docs.schema[id].dataType.simpleString()
     tokens = docs.select(
         F.col(id).alias("id"), F.col(source).cast("string").alias("source"), text_or_empty(text).alias("text")
-    ).mapInArrow(_tokenise(tokenizer, end_id), f"id {kind}, source string, n long, ids binary")
+    )
+    tokens = map_arrow(tokens, _tokenise(tokenizer, end_id), f"id {kind}, source string, n long, ids binary")
     tokens = written(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     sources = tokens.groupBy("source").agg(F.sum("n").alias("n"))
@@ -187,4 +188,4 @@ def pack(
 
     schema = f"id {kind}, {PIECES}" + (", ids binary" if with_ids else "")
     work = tokens.join(placed, "row").select("id", "queue", "ids", "place")
-    return work.mapInArrow(_cut(sizes, quanta, grain, sequence, with_ids), schema).withColumnRenamed("id", id)
+    return map_arrow(work, _cut(sizes, quanta, grain, sequence, with_ids), schema).withColumnRenamed("id", id)

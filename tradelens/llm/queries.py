@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytebpe
@@ -13,6 +13,7 @@ from .dac import read_documents, write_tokens
 from .naming import exact_dedup
 from .packing import pack
 from .simhash import simhash_dedup
+from .toxicity import THRESHOLD, toxicity
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,23 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def held_out(id: str = "doc_id") -> Column:
+    """The rows whose labels are never learned from."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity(docs, labels, learn_from=~held_out())
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = bytebpe.decode(bytebpe.encode(documents(spark, sf_dir)))
     return texts.select(
@@ -48,6 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,

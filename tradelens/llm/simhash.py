@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty, written
+from .common import map_arrow, slices, text_or_empty, written
 from .components import components
 
 SHINGLE = 4
@@ -120,7 +120,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     right = tiles.select(F.col("p").alias("p2"), F.col("q").alias("q2"), F.col("s").alias("s2"), F.col("fps").alias("b"))
     work = left.join(right, ["p2", "q2", "s2"])
     work = work.select("a", "b", (same_file & (F.col("s") == F.col("s2"))).alias("same"))
-    return work.mapInArrow(_compare(radius), "u long, v long")
+    return map_arrow(work, _compare(radius), "u long, v long")
 
 
 def simhash_dedup(
@@ -143,9 +143,8 @@ def simhash_dedup(
     """
     kind = docs.schema[id].dataType.simpleString()
     raw = text_or_empty(text)
-    prints = docs.select(F.col(id).alias("id"), raw.alias("text"), F.xxhash64(raw).alias("text_hash")).mapInArrow(
-        _fingerprints(shingle), f"id {kind}, fp long, text_hash long"
-    )
+    prints = docs.select(F.col(id).alias("id"), raw.alias("text"), F.xxhash64(raw).alias("text_hash"))
+    prints = map_arrow(prints, _fingerprints(shingle), f"id {kind}, fp long, text_hash long")
     prints = written(prints.withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     roots = components(links(prints, radius, tile)).select(F.col("node").alias("fp"), "root")
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
