@@ -17,6 +17,7 @@ at its end is cut into powers of two, so that nothing is padded.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from fractions import Fraction
@@ -35,8 +36,9 @@ WINDOW = 64 * SEQUENCE
 GRAIN = 1024
 END_ID = 1
 MAX_QUEUES = 256
-BUCKET_ROWS = 50_000
 _TEXT_BYTES = 16 << 20
+#: How ids are kept between the passes: the tokenizer has fewer than 65,536.
+_STORED = np.dtype("<u2")
 
 
 def _tokenise(path: str | None, end_id: int) -> Callable:
@@ -44,8 +46,8 @@ def _tokenise(path: str | None, end_id: int) -> Callable:
         encoder = word_encoder(path)
         for batch in slices(batches, 2, _TEXT_BYTES):
             ids, ends = encoder.encode(batch.column(2), end_id)
-            offsets = pa.py_buffer(np.concatenate(([0], ends * 4)).astype(np.int32))
-            data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids)])
+            offsets = pa.py_buffer(np.concatenate(([0], ends * _STORED.itemsize)).astype(np.int32))
+            data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids.astype(_STORED))])
             sizes = np.diff(ends, prepend=0).astype(np.int64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes), data], names=["id", "source", "n", "ids"])
 
@@ -108,9 +110,9 @@ def _cut(tokens: list[int], quanta: list[Fraction], grain: int, sequence: int, w
             rows, out, ids = [], [], []
             queues, places = batch.column(1).to_pylist(), batch.column(3).to_pylist()
             for i, data in enumerate(batch.column(2)):
-                raw = data.as_buffer()
-                size, first = len(raw) // 4, places[i]
-                view = memoryview(raw)
+                raw = np.frombuffer(data.as_buffer(), _STORED).astype("<u4")
+                size, first = len(raw), places[i]
+                view = memoryview(raw.tobytes())
                 for at, length, number, offset in rounds.pieces(queues[i], first, size):
                     start = at - first
                     piece = view[4 * start : 4 * (start + length)]
@@ -176,7 +178,7 @@ def pack(
 
     # Places in the queues: running sums within buckets of bounded size, then over the buckets.
     queue = F.coalesce(*[F.when(name == n, F.lit(i)) for i, (n, _, _) in enumerate(totals)], F.lit(0))
-    buckets = max(1, tokens.count() // BUCKET_ROWS)
+    buckets = math.isqrt(tokens.count()) + 1
     placed = tokens.select("row", "n", queue.alias("queue"), F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
     before = Window.partitionBy("queue", "bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("inner", F.coalesce(F.sum("n").over(before), F.lit(0)))

@@ -2,7 +2,8 @@
 
 The lower-casing word BPE drops white space and never merges across it, so a
 text's ids are the ids of its white-space-separated words in order. A batch's
-distinct words are encoded once by the tokenizer and gathered back with numpy.
+distinct words, less case and outer punctuation, are encoded by the tokenizer
+once in a worker's life (as far as its memory goes) and gathered back with numpy.
 Only ASCII white space separates here; other white space stays inside a word
 and is left to the tokenizer.
 """
@@ -19,7 +20,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD_BPE = "word_bpe_49k.json"
-_KEPT_WORDS = 200_000
+_KEPT_WORDS = 600_000
+# A word is cut into signs, a core and signs where the tokenizer always cuts: the core begins and ends
+# with a letter or digit that lower-cases to one, and the signs hold no apostrophe (contractions) and
+# are no part of a special token. Words of another form are one part.
+_SIGNS = r"[!-&(-/:;=?@\[-`{}~]*"
+_EDGE = r"[A-Za-z0-9À-ÖØ-öø-ÿ]"
+_PARTS = rf"^(?P<lead>{_SIGNS})(?P<core>{_EDGE}(?:[^<|]*{_EDGE})?)(?P<trail>{_SIGNS})$"
 
 
 def gather(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,26 +49,43 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, list[int]] = {}
-
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > _KEPT_WORDS:
-            known = dict(zip(words, map(known.get, words)))
-            self.known = known if len(words) <= _KEPT_WORDS else {}
-        for word, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = encoding.ids
-        return [known[w] for w in words]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _ids(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ragged ids (flat, lengths) of what is known by now, and the places of ``parts`` there."""
+        place = pc.index_in(parts, value_set=self.known)
+        if place.null_count and len(self.known) + place.null_count > _KEPT_WORDS:
+            self._forget()
+            place = pc.index_in(parts, value_set=self.known)
+        if place.null_count:
+            new = parts.filter(pc.is_null(place))
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+            known = pa.concat_arrays([self.known, new])
+            self.known, self.lengths = known, np.concatenate([self.lengths, lengths])
+            self.flat = np.concatenate([self.flat, flat])
+            place = pc.index_in(parts, value_set=known)
+        return self.flat, self.lengths, place.to_numpy()
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty), each text closed by ``end_id``, and the end of each text."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        found, ends = gather(flat, lengths, words.indices.to_numpy())
+        cut = pc.extract_regex(words.dictionary, _PARTS)
+        whole = pc.is_null(cut)
+        core = pc.if_else(whole, words.dictionary, pc.ascii_lower(pc.struct_field(cut, "core")))
+        parts = pa.concat_arrays([pc.struct_field(cut, "lead").fill_null(""), core, pc.struct_field(cut, "trail").fill_null("")])
+        parts = parts.dictionary_encode()
+        flat, lengths, place = self._ids(parts.dictionary)
+        # The ids of each distinct word: those of its three parts.
+        three = place[parts.indices.to_numpy().reshape(3, -1).T.reshape(-1)]
+        by_word, ends = gather(flat, lengths, three)
+        found, ends = gather(by_word, np.diff(ends[2::3], prepend=0), words.indices.to_numpy())
         offsets = split.offsets.to_numpy().astype(np.int64)
         offsets = offsets[1:] - offsets[0]
         ends = np.concatenate(([0], ends))[offsets]
