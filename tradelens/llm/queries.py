@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe
+from . import bytebpe, pii
 from .common import documents, shared_dir
 from .dac import read_documents, write_tokens
 from .naming import exact_dedup
@@ -25,6 +25,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", *pii.digest(F.col("pii")))
+
+
 def held_out(id: str = "doc_id") -> Column:
     """The rows whose labels are never learned from."""
     return F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2
@@ -66,6 +71,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_token_files": op9_token_files,
