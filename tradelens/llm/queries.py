@@ -7,19 +7,29 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, pii
+from . import bytebpe, pii, secrets
 from .common import documents, shared_dir
 from .dac import read_documents, write_tokens
 from .naming import exact_dedup
+from .neighbours import nearest
 from .packing import pack
 from .simhash import simhash_dedup
 from .toxicity import THRESHOLD, toxicity
+from .urls import judge_urls
+
+
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("text_hash")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,6 +67,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", *secrets.digest(F.col("secrets")))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tradelens-token-files-{uuid.uuid4().hex}"
     write_tokens(documents(spark, sf_dir), path)
@@ -69,11 +84,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_templates": op1_url_templates,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_neighbours": op3_neighbours,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_secrets": op8_secrets,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
@@ -93,4 +111,18 @@ ORACLE_SQL = {
         FROM t
         WINDOW w AS (PARTITION BY plain ORDER BY points DESC, doc_id)
     """,
+    "op3_neighbours": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+              AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+        ), d AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.x, c.x) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM d
+        )
+        SELECT query_id, place::INTEGER AS rank, vec_id, score FROM r WHERE place <= 10
+    """,
 }
