@@ -157,10 +157,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = memoryview(tokens.astype("<u4").tobytes())
             starts = ends - np.diff(ends, prepend=0)
             crcs = [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist())]
-            base = np.full(len(ends), batch.column(3)[i].as_py())
+            place = [pa.array(np.full(len(ends), batch.column(k)[i].as_py(), np.int32)) for k in (3, 4)]
             yield pa.record_batch(
-                [ids, pa.array(base + starts), pa.array(ends - starts), pa.array(crcs, pa.int64())],
-                names=["id", "start", "n_tokens", "ids_crc32"],
+                [*place, ids, pa.array(starts), pa.array(ends - starts), pa.array(crcs, pa.int64())],
+                names=["shard", "segment", "id", "at", "n_tokens", "ids_crc32"],
             )
 
 
@@ -176,8 +176,9 @@ def read_documents(spark: SparkSession, path: str, id: str = "doc_id") -> DataFr
     shards = shards.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     before = Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("shard", "segment", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("inner"))
-    starts = starts.join(shards, "shard").select("shard", "segment", (F.col("base") + F.col("inner")).alias("start"))
+    starts = starts.join(shards, "shard").select("shard", "segment", (F.col("base") + F.col("inner")).alias("base"))
     kind = files.schema["ids"].dataType.elementType.simpleString()
-    work = files.join(starts, ["shard", "segment"]).select("ids", "ends", "levels", "start")
-    out = map_arrow(work, _read, f"id {kind}, start long, n_tokens long, ids_crc32 long")
-    return out.withColumnRenamed("id", id)
+    work = files.select("ids", "ends", "levels", "shard", "segment")
+    out = map_arrow(work, _read, f"shard int, segment int, id {kind}, at long, n_tokens long, ids_crc32 long")
+    out = out.join(starts, ["shard", "segment"])
+    return out.select(F.col("id").alias(id), (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
