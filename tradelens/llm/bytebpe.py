@@ -32,7 +32,9 @@ from .wordids import gather
 
 BYTE_BPE = "byte_bpe_50k.json"
 LEXICON_WORDS = 65_536
-_KEPT_WORDS = 200_000
+_NEVER = 1 << 40
+_LONG = 48
+_BLOCK = 1 << 15
 _TEXT_BYTES = 8 << 20
 _FLUSH = 300_000
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -78,12 +80,14 @@ class ByteBPE:
             (vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])
         }
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known: dict[str, list[int]] = {}
+        pairs = sorted((a * len(self.bytes_of) + b, rank, new) for (a, b), (rank, new) in self.merges.items())
+        self.pair_keys, self.pair_ranks, self.pair_ids = np.array(pairs, np.int64).reshape(-1, 3).T.copy()
+        self.first_ids = np.array(self.first, np.int64)
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merges of one word: always the pair of the lowest rank, the leftmost first."""
         ids = [self.first[b] for b in word]
-        if len(ids) > 48:
+        if len(ids) > _LONG:
             return self._merge_long(ids)
         merges, none = self.merges, (1 << 60, 0)
         while len(ids) > 1:
@@ -125,19 +129,70 @@ class ByteBPE:
                     heapq.heappush(heap, (found[0], a, (ids[a], ids[b])))
         return [i for i in ids if i >= 0]
 
-    def ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of words that the lexicon does not hold; short ones are remembered for a while."""
-        if len(self.known) > _KEPT_WORDS:
-            self.known = {}
-        out = []
-        for w in words:
-            found = self.known.get(w)
-            if found is None:
-                found = self.merge(w.encode())
-                if len(w) <= 48:
-                    self.known[w] = found
-            out.append(found)
-        return out
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair (or _NEVER) and the id that it merges to."""
+        key = left * len(self.bytes_of) + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        rank = np.where(self.pair_keys[at] == key, self.pair_ranks[at], _NEVER)
+        return rank, self.pair_ids[at]
+
+    def merge_all(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many words at once: their ids one after the other, and how many each has."""
+        order = np.argsort(lengths, kind="stable")
+        counts = np.zeros(len(starts), np.int64)
+        rows, blocks = [], []
+        short = order[: np.searchsorted(lengths[order], _LONG, side="right")]
+        for at in range(0, len(short), _BLOCK):
+            some = short[at : at + _BLOCK]
+            ids, counts[some] = self._merge_block(data, starts[some], lengths[some])
+            rows.append(some)
+            blocks.append(ids)
+        for k in order[len(short) :].tolist():
+            ids = np.array(self._merge_long(self.first_ids[data[starts[k] : starts[k] + lengths[k]]].tolist()), np.uint32)
+            counts[k] = len(ids)
+            rows.append(np.array([k]))
+            blocks.append(ids)
+        out = np.empty(int(counts.sum()), np.uint32)
+        ends = np.cumsum(counts)
+        for some, ids in zip(rows, blocks):
+            sizes = counts[some]
+            out[np.repeat(ends[some] - np.cumsum(sizes), sizes) + np.arange(len(ids))] = ids
+        return out, counts
+
+    def _merge_block(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All words of a block advance together, each by the merge it makes next."""
+        width = int(lengths[-1]) if len(lengths) else 0
+        column = np.arange(width)
+        held = column < lengths[:, None]
+        ids = np.where(held, self.first_ids[data[np.where(held, starts[:, None] + column, 0)]], -1)
+        sizes = lengths.copy()
+        rank = np.full(ids.shape, _NEVER)
+        new = np.zeros(ids.shape, np.int64)
+        pairs = held[:, 1:]
+        rank[:, :-1][pairs], new[:, :-1][pairs] = self._ranks(ids[:, :-1][pairs], ids[:, 1:][pairs])
+        live = np.arange(len(ids))
+        while len(live):
+            at = rank[live].argmin(axis=1)
+            on = rank[live, at] < _NEVER
+            live, at = live[on], at[on]
+            if not len(live):
+                break
+            ids[live, at] = new[live, at]
+            # What follows the merged pair moves up by one.
+            for table, filler in ((ids, -1), (rank, _NEVER), (new, 0)):
+                moved = table[live]
+                after = column[:-1] > at[:, None]
+                moved[:, :-1] = np.where(after, moved[:, 1:], moved[:, :-1])
+                moved[:, -1] = filler
+                table[live] = moved
+            sizes[live] -= 1
+            for left in (at - 1, at):
+                valid = (left >= 0) & (left + 1 < sizes[live])
+                row, place = live[valid], left[valid]
+                rank[row, place], new[row, place] = self._ranks(ids[row, place], ids[row, place + 1])
+                last = (left >= 0) & ~valid
+                rank[live[last], left[last]] = _NEVER
+        return ids[column < sizes[:, None]].astype(np.uint32), sizes
 
     def pieces(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct pieces of the texts, the piece at each place, and the end of each text."""
@@ -193,20 +248,23 @@ class ByteBPE:
         data = np.frombuffer(distinct.buffers()[2] or b"\0", np.uint8)
         place = lexicon.places(data, offsets[:-1], np.diff(offsets))
         unseen = np.flatnonzero(place < 0)
-        special = self.special
-        names = distinct.take(pa.array(unseen)).to_pylist()
-        merged = iter(self.ids([w for w in names if w not in special]))
-        merged = [[special[w]] if w in special else next(merged) for w in names]
+        merged, counts = self.merge_all(data, offsets[unseen], np.diff(offsets)[unseen])
 
         # Ids of each distinct word, from the lexicon and the merges.
         lengths = np.empty(len(distinct), np.int64)
         in_file = place >= 0
         lengths[in_file] = np.diff(lexicon.offsets)[place[in_file]]
-        lengths[unseen] = np.fromiter(map(len, merged), np.int64, len(merged))
+        lengths[unseen] = counts
         flat = np.empty(int(lengths.sum()), np.uint32)
         of_file = np.repeat(in_file, lengths)
         flat[of_file], _ = gather(lexicon.ids, np.diff(lexicon.offsets), place[in_file])
-        flat[~of_file] = np.fromiter(chain.from_iterable(merged), np.uint32, int(lengths[unseen].sum()))
+        flat[~of_file] = merged
+        for token, i in self.special.items():  # a word of its own where a text holds it
+            k = pc.index(distinct, token).as_py()
+            if k >= 0:
+                upto = np.cumsum(lengths)[k]
+                flat = np.concatenate([flat[: upto - lengths[k]], np.array([i], np.uint32), flat[upto:]])
+                lengths[k] = 1
 
         by_piece, piece_ends = gather(flat, lengths, words.indices.to_numpy())
         word_ends = np.concatenate(([0], piece_ends))[np.concatenate(([0], np.cumsum(sizes)))]
