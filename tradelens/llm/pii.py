@@ -25,6 +25,12 @@ from .matching import CONTEXT, joined, let, matches, overlaps
 KINDS = ["email", "ip", "card", "phone"]
 THRESHOLD = 0.5
 ROUNDS = 50
+# What a labeler is taken to be before its votes are seen, better than chance, and the part of the spans that this weighs.
+_PRIOR = {(1, "1"): 0.7, (1, "0"): 0.1, (1, "-1"): 0.2, (0, "1"): 0.2, (0, "0"): 0.6, (0, "-1"): 0.2}
+_PRIOR_PART = 0.1
+#: Smoothing of the classifier: how many spans of all kinds a kind's own are mixed with, and values of a feature.
+_POOLED = 4.0
+_VALUES = 4
 LABELERS = ["format", "gazetteer", "context", "edges"]
 
 # The base patterns, with possessive repeats and starts at the beginning of a run only (or where the
@@ -149,10 +155,11 @@ def estimate(patterns: dict[str, int]) -> dict[str, float]:
     """Posterior of each vote pattern under labelers of unknown reliability (expectation-maximisation)."""
     rows = [(p, n, p.split("|")[0], p.split("|")[1 : 1 + len(LABELERS)]) for p, n in sorted(patterns.items())]
     post = {p: (1 + votes.count("1")) / (2 + votes.count("1") + votes.count("0")) for p, _, _, votes in rows}
+    strength = 5 + _PRIOR_PART * sum(patterns.values())
     for _ in range(ROUNDS):
         prior, total = defaultdict(lambda: 1.0), defaultdict(lambda: 2.0)
-        said = defaultdict(lambda: 0.5)  # (labeler, class, vote)
-        size = defaultdict(lambda: 1.5)
+        said = {(k, c, v): strength * x for k in range(len(LABELERS)) for (c, v), x in _PRIOR.items()}
+        size = {(k, c): strength for k in range(len(LABELERS)) for c in (0, 1)}
         for p, n, kind, votes in rows:
             prior[kind] += n * post[p]
             total[kind] += n
@@ -170,18 +177,25 @@ def estimate(patterns: dict[str, int]) -> dict[str, float]:
 def classifier(patterns: dict[str, int]) -> dict[str, float]:
     """Log odds of every pattern under naive Bayes on votes and length, trained on the posteriors."""
     post = estimate(patterns)
-    yes, no = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
+    # Weights of each class by kind, and by kind and feature; "" pools the kinds.
+    weight = defaultdict(float)
     for p, n in patterns.items():
         kind, *features = p.split("|")
-        for f in [None, *enumerate(features)]:
-            yes[kind, f] += n * post[p]
-            no[kind, f] += n * (1 - post[p])
+        for c, w in ((1, n * post[p]), (0, n * (1 - post[p]))):
+            for k in (kind, ""):
+                weight[c, k] += w
+                for f in enumerate(features):
+                    weight[c, k, f] += w
+
+    def chance(c: int, kind: str, f: tuple[int, str]) -> float:
+        pooled = (weight[c, "", f] + 1 / _VALUES) / (weight[c, ""] + 1)
+        return (weight[c, kind, f] + _POOLED * pooled) / (weight[c, kind] + _POOLED)
+
     odds = {}
     for p in patterns:
         kind, *features = p.split("|")
-        odds[p] = math.log(yes[kind, None] / no[kind, None])
-        for f in enumerate(features):
-            odds[p] += math.log(yes[kind, f] / yes[kind, None]) - math.log(no[kind, f] / no[kind, None])
+        odds[p] = math.log((weight[1, kind] + 1) / (weight[0, kind] + 1))
+        odds[p] += sum(math.log(chance(1, kind, f) / chance(0, kind, f)) for f in enumerate(features))
     return odds
 
 

@@ -117,8 +117,9 @@ ORACLE_SQL = {
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
               AND len(list_filter(embedding, lambda e: e <> 0)) > 0
         ), d AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.x, c.x) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   sqrt(list_sum(list_transform(list_zip(q.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
             WHERE q.vec_id % 100 = 0
         ), r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM d
