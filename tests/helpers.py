@@ -2,6 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tradelens.config import FENCED_METRICS
+from tradelens.operators.quantiles import ROUTE, route_metric_counts
 from tradelens.sources.schemas import BLOCKS, CREATE_ORDERS, FINAL_ORDERS, MATCHED_ORDERS, SWAPS, TRANSACTIONS
 
 UTC = dt.timezone.utc
@@ -54,3 +59,28 @@ def tx_df(spark, rows):
 def tsn(s):
     """Naive form, as collected rows carry it (the test process runs on UTC)."""
     return dt.datetime.fromisoformat(s)
+
+
+def route_quartiles_by_row_number(durations_us, metrics=FENCED_METRICS):
+    """The original's shape (ROW_NUMBER per route, value at the target rank).
+
+    Sorts each route in one task: a test oracle for small inputs, not for scale.
+    """
+    counts = route_metric_counts(durations_us, metrics)
+    out = counts.select(*ROUTE)
+    for m in metrics:
+        w = Window.partitionBy(*ROUTE).orderBy(F.col(f"{m}_us").asc_nulls_last())
+        ranked = durations_us.where(F.col(f"{m}_us").isNotNull()).select(
+            *ROUTE, F.col(f"{m}_us").alias("v"), F.row_number().over(w).alias("rn")
+        )
+        c = counts.select(*ROUTE, F.col(f"{m}_count").alias("n"))
+        j = ranked.join(c, ROUTE)
+        n1 = F.col("n") + 1
+        r1 = F.greatest(F.lit(1), F.floor(n1 / 4))
+        r3 = F.greatest(F.lit(1), F.floor(3 * n1 / 4))
+        per = j.groupBy(*ROUTE).agg(
+            F.max(F.when(F.col("rn") == r1, F.col("v"))).alias(f"q1_{m}_us"),
+            F.max(F.when(F.col("rn") == r3, F.col("v"))).alias(f"q3_{m}_us"),
+        )
+        out = out.join(per, ROUTE, "left")
+    return out

@@ -1,5 +1,8 @@
+import json
+
 import pytest
 from conftest import SF_SMALL
+from helpers import create_orders_df, matched_df, swaps_df, ts
 
 from tradelens.operators import browse
 from tradelens.sources.fixtures import derive_sources
@@ -29,8 +32,9 @@ def test_pages_are_consecutive_and_newest_first(spark):
 def test_page_past_the_end_is_empty_and_info(spark):
     s = derive_sources(spark, SF_SMALL)
     assert browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 10_000, 10).count() == 0
-    info = browse.page_info(s.matched_orders, s.create_orders, s.swaps, 1, 10).collect()[0]
-    assert info.total_items == 1364 and info.total_pages == 137 and info.filtered_items == 1364
+    info = browse.page_info(s.matched_orders, 1, 10).collect()[0]
+    assert info.total_items == 1364 and info.total_pages == 137
+    assert browse.listable_items(s.matched_orders, s.create_orders, s.swaps).collect()[0].listable_items == 1364
 
 
 def test_successful_page_filters(spark):
@@ -39,5 +43,34 @@ def test_successful_page_filters(spark):
     assert rows
     for r in rows:
         assert r.source_swap.redeem_tx_hash and r.destination_swap.redeem_tx_hash
-    j = browse.nested_json(browse.successful_matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 1, 1)).collect()[0]
-    assert '"refund_tx_hash":' in j.source_swap
+
+
+def test_every_page_holds_its_ranks(spark):
+    """Pages of ties, of missing times and of repeated matches against one sort of all rows."""
+    times = [None, "2020-01-03", "2020-01-03", "2020-01-02", "1969-12-31", "2020-01-03", None, "2020-01-02"]
+    times = [t and ts(f"{t}T00:00:00") for t in times]
+    matched = [{"create_order_id": f"o{i}", "source_swap_id": f"s{i}", "destination_swap_id": f"d{i}", "created_at": t} for i, t in enumerate(times)]
+    matched += [matched[2], {**matched[3], "destination_swap_id": "gone"}, {**matched[3], "create_order_id": "gone"}]
+    orders = create_orders_df(spark, [{"create_id": f"o{i}"} for i in range(8)])
+    swaps = swaps_df(spark, [{"swap_id": f"{k}{i}"} for i in range(8) for k in "sd"])
+    table = matched_df(spark, matched)
+    want = ["o0", "o6", "o1", "o2", "o2", "o5", "o3", "o7", "o4"]
+    assert browse.listable_items(table, orders, swaps).collect()[0].listable_items == len(want)
+    for per_page in (1, 2, 4, 9, 20):
+        got = []
+        for page in range(1, len(want) // per_page + 2):
+            rows = browse.matched_orders_page(table, orders, swaps, page, per_page).collect()
+            assert [r.row_no for r in rows] == list(range((page - 1) * per_page + 1, (page - 1) * per_page + 1 + len(rows)))
+            got += [r.create_order.create_id for r in rows]
+        assert got == want
+
+
+def test_page_document(spark):
+    s = derive_sources(spark, SF_SMALL)
+    page = browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 2, 3)
+    doc = json.loads(browse.page_document(page, browse.page_info(s.matched_orders, 2, 3)).collect()[0].document)
+    assert (doc["page"], doc["per_page"], doc["total_items"], doc["total_pages"]) == (2, 3, 1364, 455)
+    assert [r["create_order"]["create_id"] for r in doc["data"]] == [r.create_order.create_id for r in page.collect()]
+    assert "refund_tx_hash" in doc["data"][0]["source_swap"] and doc["data"][0]["created_at"].endswith("Z")
+    none = browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 9999, 3)
+    assert json.loads(browse.page_document(none, browse.page_info(s.matched_orders, 9999, 3)).collect()[0].document)["data"] == []

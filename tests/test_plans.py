@@ -6,9 +6,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
-from tradelens.operators import settle
+from tradelens.operators import browse, settle
+from tradelens.operators.durations import order_durations_us
 from tradelens.plans import registry
 from tradelens.plans.pipelines import enrichment
+from tradelens.sources import store
 
 
 def _plan(df) -> str:
@@ -26,14 +28,16 @@ def at_scale(spark):
         spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_cross_products(spark, at_scale, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_window_reaches_the_scan(spark):
-    plan = _plan(entry.queries()["order_durations"](spark, SF_SMALL))
+    st = registry.state(spark, SF_SMALL)
+    window = store.read_orders_table(spark, st.enriched_path, *st.window)
+    plan = _plan(order_durations_us(window, registry.WINDOW_START, registry.WINDOW_END))
     assert re.search(r"PartitionFilters: \[.*created_month", plan)
     assert re.search(r"PushedFilters: \[.*created_at", plan)
     # column pruning: block numbers and hashes are not read for durations
@@ -59,3 +63,36 @@ def test_enrichment_shuffles_each_lookup_table_once(spark, at_scale):
     # the hot-key branch probes the same shuffled, de-duplicated table (ReusedExchange)
     assert len(blocks_scans) == 1 and len(tx_scans) == 1
     assert "ReusedExchange" in plan
+
+
+def test_enriched_orders_reads_the_table_twice_and_the_requests_once_written(spark, at_scale):
+    st = registry.state(spark, SF_SMALL)
+    plan = _plan(st.run.enriched)
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert sum("secret_hash" in line for line in scans) <= 2  # the touched and the untouched rows; requests are stored
+
+
+def test_pages_never_shuffle_the_wide_swaps(spark, at_scale):
+    st = registry.state(spark, SF_SMALL)
+    s = st.src
+    plan = _plan(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 40, 20))
+    lines = plan.split("\n")
+    depth = lambda line: len(re.match(r"[\s:+|*()\d-]*", line)[0])
+    for i, line in enumerate(lines):
+        if "FileScan" in line and "redeem_tx_hash" in line:
+            above, at = [], depth(line)
+            for up in reversed(lines[:i]):
+                if depth(up) < at:
+                    above.append(up)
+                    at = depth(up)
+            # rows meet the broadcast page before anything is exchanged
+            first_join = next(k for k, u in enumerate(above) if "BroadcastHashJoin" in u)
+            assert not any("Exchange hashpartitioning" in u for u in above[:first_join])
+    limits = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+    assert limits and max(limits) < 40 * 20  # one page and the ties before it, not every row before the page
+
+
+def test_quartiles_scan_the_durations_only(spark):
+    an = registry.state(spark, SF_SMALL).an
+    assert "FileScan" not in _plan(an.quartiles_us)  # found by two passes, at most one row per route
+    assert _plan(registry.q_route_matrix(spark, SF_SMALL)).count("FileScan") == 1

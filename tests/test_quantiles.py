@@ -3,6 +3,8 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from helpers import route_quartiles_by_row_number
+
 from tradelens.operators import quantiles as Q
 
 
@@ -31,7 +33,7 @@ def _durations(spark, rows):
 def _check(spark, rows):
     d = _durations(spark, rows)
     fast = {(r.source_chain, r.destination_chain): r.asDict() for r in Q.route_quartiles_us(d).collect()}
-    slow = {(r.source_chain, r.destination_chain): r.asDict() for r in Q.route_quartiles_by_row_number(d).collect()}
+    slow = {(r.source_chain, r.destination_chain): r.asDict() for r in route_quartiles_by_row_number(d).collect()}
     assert fast == slow
     for (s, t), got in fast.items():
         for i, m in enumerate(("user_init", "cobi_init", "user_redeem", "cobi_redeem")):
@@ -84,7 +86,8 @@ def test_select_ranks_any_rank(spark):
     vals = {g: [rng.choice([0, 5, 2**22 + 7, 2**43 + 1, rng.randrange(10**12)]) for _ in range(n)] for g, n in (("a", 1), ("b", 50), ("c", 333))}
     values = spark.createDataFrame([(g, v) for g, vs in vals.items() for v in vs], "g string, v long")
     wanted = [(g, j, r) for g, vs in sorted(vals.items()) for j, r in enumerate((1, len(vs), (len(vs) + 1) // 2))]
-    targets = spark.createDataFrame(wanted, "g string, q int, rank long")
-    got = {(r.g, r.q): r.value for r in Q.select_ranks(values, targets, ["g"]).collect()}
+    got = {(r.g, r.q): r for r in Q.select_ranks(values, wanted, ["g"])}
     for g, q, r in wanted:
-        assert got[(g, q)] == sorted(vals[g])[r - 1]
+        v = sorted(vals[g])
+        assert got[(g, q)].lo == got[(g, q)].hi == v[r - 1]
+        assert got[(g, q)].r == r - v.index(v[r - 1])

@@ -1,4 +1,6 @@
-from helpers import final_rows, ts
+import datetime as dt
+
+from helpers import route_quartiles_by_row_number, final_rows, ts
 
 from tradelens.operators import durations as D
 from tradelens.operators import quantiles as Q
@@ -104,7 +106,7 @@ def test_orders_by_route_rows(spark):
 def test_radix_matches_row_number_on_analysis(spark):
     a = analysis(_orders(spark), *W)
     fast = sorted(map(tuple, Q.route_quartiles_us(a.durations_us).collect()))
-    slow = sorted(map(tuple, Q.route_quartiles_by_row_number(a.durations_us).collect()))
+    slow = sorted(map(tuple, route_quartiles_by_row_number(a.durations_us).collect()))
     assert fast == slow
 
 
@@ -142,3 +144,22 @@ def test_averages_by_route_map(spark):
     a = analysis(_orders(spark), *W)
     m = R.averages_by_route(R.route_matrix(R.route_averages(a.normal_us))).collect()[0].averages
     assert len(m) == 64 and m["bera-starknet"]["total_orders"] == 1 and m["arbitrum-base"]["avg_user_init_duration"] is None
+
+
+def test_thresholds_only_for_routes_with_normal_orders(spark):
+    """Four orders of one route, each the outlier of another metric, and one order of another route."""
+    import json
+
+    from tradelens.plans.pipelines import averages_report
+
+    t0 = ts("1997-01-01T00:00:00")
+    rows = []
+    for i in range(4):
+        gap = [dt.timedelta(hours=10 if k == i else 1) for k in range(4)]
+        at = [t0 + sum(gap[: k + 1], dt.timedelta()) for k in range(4)]
+        rows.append({"create_order_id": f"x{i}", "created_at": t0, "user_init": at[0], "cobi_init": at[1], "user_redeem": at[2], "cobi_redeem": at[3]})
+    rows.append({"create_order_id": "y", "created_at": t0, "source_chain": "bera", "user_init": t0 + dt.timedelta(hours=1)})
+    rep = averages_report(final_rows(spark, rows), *W)
+    doc = json.loads(rep["document"].collect()[0].document)
+    assert rep["thresholds"].where("source_chain = 'base'").count() == 4
+    assert doc["averages"]["base-base"]["total_orders"] == 0 and list(doc["thresholds"]) == ["bera-base"]

@@ -1,22 +1,88 @@
+import glob
+import hashlib
 import tempfile
+from dataclasses import replace
 
+import pytest
 from conftest import SF_SMALL
+from helpers import final_rows, ts
+from pyspark.sql import functions as F
 
 from tradelens.operators.enrich import timestamp_candidates
+from tradelens.operators.settle import rejected, storable
+from tradelens.plans.pipelines import new_orders
+from tradelens.plans.scheduled_sync import enrich_months, run_once, sync
 from tradelens.sources.fixtures import derive_sources
-from tradelens.streaming.scheduled_sync import run_once
+from tradelens.sources.manifest import OrdersTable
 
 
-def test_two_runs_are_idempotent_and_keep_times(spark):
+@pytest.fixture(scope="module")
+def src(spark):
+    return derive_sources(spark, SF_SMALL)
+
+
+def ids(df):
+    return sorted(r.create_order_id for r in df.select("create_order_id").collect())
+
+
+def digests(root):
+    return {f: hashlib.sha1(open(f, "rb").read()).hexdigest() for f in glob.glob(f"{root}/data/*/*/*.parquet")}
+
+
+def test_new_and_late_settled_orders_between_two_runs(spark, src):
     root = tempfile.mkdtemp(prefix="tl-sync-")
-    src = derive_sources(spark, SF_SMALL)
-    first = run_once(spark, src, None, f"{root}/s1")
+    # at first only orders before 1998 have arrived, and the blocks of 1996 are not known yet
+    early = F.col("created_at") < F.lit(ts("1998-01-01T00:00:00"))
+    first_src = replace(src, create_orders=src.create_orders.where(early))
+    late = F.col("block_time").between(int(ts("1996-01-01T00:00:00").timestamp()), int(ts("1997-01-01T00:00:00").timestamp()))
+    first_src = replace(first_src, blocks=src.blocks.where(~late))
+    first = run_once(spark, first_src, root)
     n1 = first.count()
-    assert n1 == 1197
-    second = run_once(spark, src, f"{root}/s1", f"{root}/s2")
-    assert second.count() == n1  # nothing appended twice
-    # a second pass finds nothing new: the unresolved orders stay unresolved, set times stay set
-    assert timestamp_candidates(second).count() == timestamp_candidates(first).count()
-    a = {r.create_order_id: r.user_init for r in first.select("create_order_id", "user_init").collect()}
-    b = {r.create_order_id: r.user_init for r in second.select("create_order_id", "user_init").collect()}
-    assert a == b
+    assert 0 < n1 < 1197
+    before, open1 = digests(root), timestamp_candidates(first).count()
+    _, months1 = OrdersTable(spark, root).version()
+
+    second = run_once(spark, src, root)
+    assert second.count() == 1197 and len(set(ids(second))) == 1197
+    assert second.where(early).where("user_init IS NOT NULL").count() > first.where("user_init IS NOT NULL").count()
+    assert timestamp_candidates(second.where(early)).count() < open1
+    _, months2 = OrdersTable(spark, root).version()
+    same = [m for m in months1 if months2[m] == months1[m]]
+    assert same and all(not m.startswith("1996") for m in same)  # months without a newly found time keep their folders
+    after = digests(root)
+    assert all(after[f] == before[f] for f in before)  # nothing written before was changed
+
+    third = run_once(spark, src, root)
+    assert third.count() == 1197 and OrdersTable(spark, root).version()[1] == months2  # nothing left to do
+    assert ids(third) == ids(second)
+
+
+def test_overlapping_syncs_store_no_order_twice(spark, src):
+    root = tempfile.mkdtemp(prefix="tl-sync-")
+    table, tries = OrdersTable(spark, root), []
+
+    def append(months):
+        """A second sync runs and publishes while this one is at work."""
+        added = table.write(new_orders(src, table.read(months)))
+        if not tries:
+            sync(spark, src, root)
+        tries.append(len(added))
+        return {m: [*months.get(m, []), *added.get(m, [])] for m in {*months, *added}}
+
+    got = table.update(append)
+    assert len(tries) == 2 and tries[0] > 0 and tries[1] == 0
+    assert got.count() == 1197 and len(set(ids(got))) == 1197
+    assert not table.publish(1, {})
+
+
+def test_enrichment_of_an_empty_table(spark, src):
+    root = tempfile.mkdtemp(prefix="tl-sync-")
+    assert enrich_months(spark, src, root).count() == 0 and OrdersTable(spark, root).version() == (0, {})
+
+
+def test_rows_without_required_columns_are_refused_and_reported(spark):
+    good = final_rows(spark, [{"create_order_id": "a"}])
+    bad = good.withColumns({"create_order_id": F.lit("b"), "created_at": F.lit(None).cast("timestamp"), "source_chain": F.lit(None).cast("string")})
+    both = good.unionByName(bad)
+    assert ids(storable(both)) == ["a"]
+    assert [(r.create_order_id, r.missing) for r in rejected(both).collect()] == [("b", ["created_at", "source_chain"])]

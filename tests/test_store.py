@@ -10,15 +10,15 @@ from tradelens.sources.fixtures import derive_sources
 from tradelens.sources.schemas import FINAL_ORDER_COLUMNS
 
 
-def test_ensure_table_then_sync_twice(spark):
+def test_store_and_enrich_a_snapshot(spark):
     path = f"{checkpoint_dir(spark)}/store-test-{uuid.uuid4().hex[:8]}"
     empty = store.ensure_table(spark, path)
     assert empty.columns == FINAL_ORDER_COLUMNS and empty.count() == 0
     src = derive_sources(spark, SF_SMALL)
-    pipelines.sync_to_store(spark, src, path)
-    pipelines.sync_to_store(spark, src, path)  # nothing is appended twice
+    store.write_orders(pipelines.new_orders(src, empty), path)
     t = store.read_orders_table(spark, path)
     assert t.count() == 1197 and t.select("create_order_id").distinct().count() == 1197
+    assert pipelines.new_orders(src, t).count() == 0  # nothing is appended twice
     snap = pipelines.enrich_store(spark, src, path, path + "-v2")
     assert snap.count() == 1197
     # a window read lists only the months it touches, and filters by month

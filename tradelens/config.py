@@ -30,7 +30,8 @@ DEFAULT_PAGE: int = 1
 DEFAULT_PER_PAGE: int = 10
 IST_OFFSET: str = "+05:30"
 
-# Six lifecycle events. Each names the side whose chain it lives on.
+# The six lifecycle events, the side whose chain each lives on, and the stage
+# durations named after them (they are column names of the stored table).
 EVENTS: tuple[str, ...] = (
     "user_init",
     "cobi_init",
@@ -58,10 +59,3 @@ ALL_METRICS: tuple[str, ...] = (
     "cobi_redeem",
     "cobi_refund",
 )
-
-# Largest page that is attached to the wide tables with a broadcast join.
-MAX_BROADCAST_PAGE_ROWS: int = 100_000
-
-# A lookup key with at least this many rows is joined by broadcast of its lookup row
-# instead of in one shuffle task; at most rows / HOT_KEY_ROWS keys can qualify.
-HOT_KEY_ROWS: int = 1 << 20

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import IST_OFFSET
 
 MICROS_PER_SECOND = 1_000_000
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 
 
 def col_(c: str | Column) -> Column:
@@ -53,16 +56,40 @@ def epoch_to_timestamp(c: str | Column) -> Column:
     return F.when(c.isNotNull() & (c != 0), F.timestamp_seconds(c))
 
 
+_DAY_US = 86_400 * MICROS_PER_SECOND
+
+
+def utc_text(us: Column, separator: str) -> Column:
+    """Epoch microseconds as ``yyyy-MM-dd<separator>HH:mm:ss.SSS`` on the UTC clock, whatever the session's zone."""
+    in_day = F.pmod(us, F.lit(_DAY_US))
+    ms = F.floor(in_day / 1000)
+    clock = F.format_string(
+        "%02d:%02d:%02d.%03d", F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60, F.floor(ms / 1000) % 60, ms % 1000
+    )
+    return F.when(us.isNotNull(), F.concat(utc_date(us).cast("string"), F.lit(separator), clock))
+
+
+def utc_date(us: Column) -> Column:
+    """The UTC date of epoch microseconds."""
+    days = F.round((us - F.pmod(us, F.lit(_DAY_US))) / _DAY_US).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
+
+
+def instant(t) -> Column:
+    """A datetime (with its zone) as a timestamp literal."""
+    return F.timestamp_micros(F.lit((t - _EPOCH) // _dt.timedelta(microseconds=1)))
+
+
 def iso_utc(c: str | Column) -> Column:
-    """``Date.toISOString()`` form: 2024-01-31T12:00:00.000Z (session clock is UTC)."""
-    return F.date_format(col_(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """``Date.toISOString()`` form: 2024-01-31T12:00:00.000Z."""
+    return F.concat(utc_text(F.unix_micros(col_(c)), "T"), F.lit("Z"))
 
 
 def ist_display(epoch_seconds: str | Column) -> Column:
     """Epoch seconds to ``yyyy-MM-dd HH:mm:ss.SSS+05:30``; 0 or NULL gives NULL."""
     c = col_(epoch_seconds)
-    shifted = F.timestamp_seconds(c + F.lit(5 * 3600 + 30 * 60))
-    return F.when(c.isNotNull() & (c != 0), F.concat(F.date_format(shifted, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit(IST_OFFSET)))
+    shifted = utc_text((c + F.lit(5 * 3600 + 30 * 60)) * MICROS_PER_SECOND, " ")
+    return F.when(c.isNotNull() & (c != 0), F.concat(shifted, F.lit(IST_OFFSET)))
 
 
 def hex_to_long(c: str | Column) -> Column:

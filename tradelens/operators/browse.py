@@ -1,20 +1,29 @@
 """Paginated, nested matched orders, newest first.
 
-Plan shape: the page is chosen on narrow key rows (semi joins on ids, then a
-top-k on ``created_at``: each task keeps at most offset + per_page rows), and
-only the chosen rows are joined back to the wide order and swap rows with a
-broadcast of at most ``MAX_BROADCAST_PAGE_ROWS`` rows, so the wide tables are
-scanned but never shuffled. Deep pages still rank everything before them; a
-``created_before`` bound prunes the scan when the caller knows one.
+Plan shape: the listable matches are written once as narrow key rows. The times
+at the page's first and last rank are found by counting (``quantiles.select_ranks``),
+so a deep page never gathers the rows before it: only rows between these times
+are ranked, a top-k of one page plus the ties before it. The page's rows are
+then unpivoted to their swap ids and broadcast to one scan of the wide swaps and
+one of the wide orders, which are never shuffled. The plan is the same for every
+page and page size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_PAGE, DEFAULT_PER_PAGE, MAX_BROADCAST_PAGE_ROWS
-from ..functions.columns import present
+from ..config import DEFAULT_PAGE, DEFAULT_PER_PAGE
+from ..functions.columns import instant, iso_utc, present
+from ..session import checkpoint_dir
+from .durations import parse_window
+from .quantiles import select_ranks
+
+MATCH = ["create_order_id", "source_swap_id", "destination_swap_id", "created_at", "updated_at", "deleted_at"]
+
 
 def _order():
     """Newest first (NULL times first, as the original database sorted), ties by ids."""
@@ -31,32 +40,57 @@ def page_args(page: int | None = None, per_page: int | None = None) -> tuple[int
     page = int(page) if page else DEFAULT_PAGE
     per_page = int(per_page) if per_page else DEFAULT_PER_PAGE
     if page < 1 or per_page < 1:
-        raise ValueError("Page and per_page must be positive integers")
+        raise ValueError(f"pages are counted from 1 and hold at least one row: page={page}, per_page={per_page}")
     return page, per_page
 
 
-def _listable(
+def listable_matches(
     matched_orders: DataFrame,
     create_orders: DataFrame,
     swaps: DataFrame,
-    successful: bool,
+    successful: bool = False,
     created_before=None,
 ) -> DataFrame:
-    """Matches that have their order and both swaps (and, if asked, both legs initiated and redeemed)."""
-    keys = matched_orders.select(
-        "create_order_id", "source_swap_id", "destination_swap_id", "created_at", "updated_at", "deleted_at"
-    )
+    """Matches that have their order and both swaps (and, if asked, both legs initiated and redeemed).
+
+    Both legs of a match meet ``swaps`` in one join and are folded back; a match
+    that is stored several times is listed as often.
+    """
+    keys = matched_orders.select(*MATCH)
     if created_before is not None:
-        keys = keys.where(F.col("created_at") < F.lit(created_before).cast("timestamp"))
+        keys = keys.where(F.col("created_at") < instant(parse_window(str(created_before))[0]))
     sw = swaps
     if successful:
         sw = swaps.where(present("initiate_tx_hash") & present("redeem_tx_hash"))
-    ids = sw.select("swap_id")
-    return (
-        keys.join(create_orders.select(F.col("create_id").alias("create_order_id")), "create_order_id", "left_semi")
-        .join(ids.withColumnRenamed("swap_id", "source_swap_id"), "source_swap_id", "left_semi")
-        .join(ids.withColumnRenamed("swap_id", "destination_swap_id"), "destination_swap_id", "left_semi")
+    legs = F.array(
+        F.struct(F.lit(1).alias("s"), F.lit(0).alias("d"), F.col("source_swap_id").alias("swap_id")),
+        F.struct(F.lit(0).alias("s"), F.lit(1).alias("d"), F.col("destination_swap_id").alias("swap_id")),
     )
+    met = keys.select(*MATCH, F.inline(legs)).join(sw.select("swap_id"), "swap_id", "left_semi")
+    whole = met.groupBy(*MATCH).agg(F.sum("s").alias("s"), F.sum("d").alias("d")).where("s > 0 AND d > 0")
+    whole = whole.join(
+        create_orders.select(F.col("create_id").alias("create_order_id")), "create_order_id", "left_semi"
+    )
+    times = F.explode(F.sequence(F.lit(1), F.least("s", "d").cast("int")))
+    return whole.select(*MATCH, times.alias("_copy")).select(*MATCH)
+
+
+def _page_rows(keys: DataFrame, offset: int, per_page: int) -> DataFrame:
+    """The rows of ranks offset + 1 to offset + per_page, with ``row_no``."""
+    micros = F.unix_micros("created_at")
+    every = keys.agg(F.count(F.lit(1)).alias("n"), F.max(micros).alias("newest")).first()
+    if every["n"] <= offset:
+        return keys.limit(0).withColumn("row_no", F.lit(0).cast("long"))
+    # distance from the newest: ascending is the page order, NULL times come first
+    age = F.coalesce(F.lit(every["newest"]).cast("long") - micros + 1, F.lit(0).cast("long"))
+    values = keys.select(F.lit(0).alias("all"), age.alias("v"))
+    last = min(every["n"], offset + per_page)
+    first, final = sorted(select_ranks(values, [(0, 0, offset + 1), (0, 1, last)], ["all"]), key=lambda r: r["q"])
+    ties = first["r"] - 1  # rows before the page that share its first row's time
+    near = keys.where(age.between(first["lo"], final["lo"])).orderBy(*_order()).limit(ties + per_page)
+    # at most ties + per_page rows: numbering them in one window partition is bounded
+    place = F.row_number().over(Window.orderBy(*_order()))
+    return near.withColumn("row_no", (place + F.lit(offset - ties)).cast("long")).where(F.col("row_no") > offset)
 
 
 def matched_orders_page(
@@ -70,16 +104,25 @@ def matched_orders_page(
 ) -> DataFrame:
     """One page: ``row_no``, the match's times, and the nested create order and both swaps."""
     page, per_page = page_args(page, per_page)
-    offset = (page - 1) * per_page
-    ranked = _listable(matched_orders, create_orders, swaps, successful, created_before).orderBy(*_order())
-    top = ranked.offset(offset).limit(per_page) if offset else ranked.limit(per_page)
-    # at most per_page rows: numbering them in one window partition is bounded
-    top = top.withColumn("row_no", (F.row_number().over(Window.orderBy(*_order())) + F.lit(offset)).cast("long"))
-    small = F.broadcast(top) if per_page <= MAX_BROADCAST_PAGE_ROWS else top
-    co = create_orders.select(F.col("create_id").alias("create_order_id"), F.struct("*").alias("create_order"))
-    ss = swaps.select(F.col("swap_id").alias("source_swap_id"), F.struct("*").alias("source_swap"))
-    ds = swaps.select(F.col("swap_id").alias("destination_swap_id"), F.struct("*").alias("destination_swap"))
-    out = small.join(co, "create_order_id").join(ss, "source_swap_id").join(ds, "destination_swap_id")
+    spark = matched_orders.sparkSession
+    keys = listable_matches(matched_orders, create_orders, swaps, successful, created_before)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{uuid.uuid4().hex}/listable"
+    keys.write.parquet(path)
+    top = _page_rows(spark.read.schema(keys.schema).parquet(path), (page - 1) * per_page, per_page)
+
+    # The broadcasts hold the page's rows and their swap ids: per_page and twice per_page rows.
+    legs = F.array(
+        F.struct(F.lit(True).alias("is_source"), F.col("source_swap_id").alias("swap_id")),
+        F.struct(F.lit(False).alias("is_source"), F.col("destination_swap_id").alias("swap_id")),
+    )
+    ids = top.select("row_no", F.inline(legs))
+    found = swaps.select("swap_id", F.struct("*").alias("swap")).join(F.broadcast(ids), "swap_id")
+    both = found.groupBy("row_no").agg(
+        F.max(F.when(F.col("is_source"), F.col("swap"))).alias("source_swap"),
+        F.max(F.when(~F.col("is_source"), F.col("swap"))).alias("destination_swap"),
+    )
+    orders = create_orders.select(F.col("create_id").alias("create_order_id"), F.struct("*").alias("create_order"))
+    out = orders.join(F.broadcast(top), "create_order_id").join(F.broadcast(both), "row_no")
     return out.select(
         "row_no", "created_at", "updated_at", "deleted_at", "source_swap", "destination_swap", "create_order"
     ).orderBy("row_no")
@@ -96,46 +139,49 @@ def successful_matched_orders_page(
     return matched_orders_page(matched_orders, create_orders, swaps, page, per_page, successful=True)
 
 
-def page_info(
-    matched_orders: DataFrame,
-    create_orders: DataFrame,
-    swaps: DataFrame,
-    page: int | None = None,
-    per_page: int | None = None,
-    successful: bool = False,
-) -> DataFrame:
-    """One row: page, per_page, total_items, total_pages and filtered_items.
+def page_info(matched_orders: DataFrame, page: int | None = None, per_page: int | None = None) -> DataFrame:
+    """One row: page, per_page, total_items and total_pages.
 
     ``total_items`` counts every match, as the service did, whatever the joins
-    and filters keep; ``filtered_items`` counts the rows the pages list.
+    and filters keep (``listable_items`` counts what the pages list).
     """
     page, per_page = page_args(page, per_page)
-    # both counts in one aggregate over a union of two narrow projections
-    marks = matched_orders.select(F.lit(1).alias("t"), F.lit(0).alias("f")).unionByName(
-        _listable(matched_orders, create_orders, swaps, successful).select(F.lit(0).alias("t"), F.lit(1).alias("f"))
-    )
-    counts = marks.agg(
-        F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("total_items"),
-        F.coalesce(F.sum("f"), F.lit(0)).cast("long").alias("filtered_items"),
-    )
-    return counts.select(
+    return matched_orders.agg(F.count(F.lit(1)).alias("total_items")).select(
         F.lit(page).alias("page"),
         F.lit(per_page).alias("per_page"),
         "total_items",
         F.ceil(F.col("total_items") / F.lit(per_page)).cast("long").alias("total_pages"),
-        "filtered_items",
     )
 
 
-def nested_json(page_df: DataFrame) -> DataFrame:
-    """The page with its nested rows as JSON text (NULL fields kept)."""
-    opts = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"}
-    return page_df.select(
-        "row_no",
-        "created_at",
-        "updated_at",
-        "deleted_at",
-        F.to_json("source_swap", opts).alias("source_swap"),
-        F.to_json("destination_swap", opts).alias("destination_swap"),
-        F.to_json("create_order", opts).alias("create_order"),
-    )
+def listable_items(
+    matched_orders: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool = False
+) -> DataFrame:
+    """One row: how many matches the pages list."""
+    keys = listable_matches(matched_orders, create_orders, swaps, successful)
+    return keys.agg(F.count(F.lit(1)).alias("listable_items"))
+
+
+def _iso_struct(name: str, schema) -> Column:
+    """A nested row with its times as ISO text."""
+    fields = [
+        (iso_utc(F.col(name)[f.name]) if f.dataType.typeName() == "timestamp" else F.col(name)[f.name]).alias(f.name)
+        for f in schema[name].dataType.fields
+    ]
+    return F.struct(*fields).alias(name)
+
+
+def page_document(page_df: DataFrame, info: DataFrame) -> DataFrame:
+    """The page answer as one JSON text: data (nested rows in page order), page, per_page, total_items, total_pages.
+
+    Bounded by the page size. NULL fields are kept.
+    """
+    nested = [_iso_struct(n, page_df.schema) for n in ("source_swap", "destination_swap", "create_order")]
+    times = [iso_utc(c).alias(c) for c in ("created_at", "updated_at", "deleted_at")]
+    rows = page_df.select("row_no", F.struct(*times, *nested).alias("row"))
+    # One aggregate over the page's rows and the info row.
+    counts = ["page", "total_pages", "total_items", "per_page"]
+    both = rows.unionByName(info.select(*counts), allowMissingColumns=True)
+    listed = F.array_sort(F.collect_list(F.when(F.col("row_no").isNotNull(), F.struct("row_no", "row"))))
+    whole = both.agg(F.transform(listed, lambda r: r["row"]).alias("data"), *[F.max(c).alias(c) for c in counts])
+    return whole.select(F.to_json(F.struct("data", *counts), {"ignoreNullFields": "false"}).alias("document"))

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EVENT_SIDE, EVENTS, HOT_KEY_ROWS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
+from ..config import EVENT_SIDE, EVENTS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
 from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, present, tx_hash_head
 from ..sources.schemas import FINAL_ORDER_COLUMNS
 from .joins import hot_keys, lookup_join
@@ -116,10 +116,19 @@ def block_times(blocks: DataFrame) -> DataFrame:
 
 
 def tx_records(transactions: DataFrame) -> DataFrame:
-    """(chain, tx_hash) -> (block number, epoch seconds), one row per key."""
-    return transactions.groupBy("chain", "tx_hash").agg(
-        F.min("block_number").alias("tx_block_number"), F.min("block_time").alias("tx_time")
+    """(chain, tx_hash) -> (block number, epoch seconds), one row per key.
+
+    Of a repeated hash one whole row is taken: one with a block first, then the
+    smallest block, then one with a time, then the smallest time.
+    """
+    row = F.struct(
+        F.col("block_number").isNull().alias("no_block"),
+        F.col("block_number").alias("tx_block_number"),
+        F.col("block_time").isNull().alias("no_time"),
+        F.col("block_time").alias("tx_time"),
     )
+    first = transactions.groupBy("chain", "tx_hash").agg(F.min(row).alias("first"))
+    return first.select("chain", "tx_hash", "first.tx_block_number", "first.tx_time")
 
 
 def _truthy(c: Column) -> Column:
@@ -129,9 +138,7 @@ def _truthy(c: Column) -> Column:
 _OUT = ["create_order_id", "event", "chain", "block_time"]
 
 
-def _resolve(
-    requests: DataFrame, blocks: DataFrame, transactions: DataFrame | None, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | None, staged_path: str | None = None) -> DataFrame:
     """One plan for any mix of requests: at most one transaction join and one block join.
 
     * transaction requests join ``transactions`` on (chain, hash) - bitcoin
@@ -140,7 +147,8 @@ def _resolve(
       (chain, block): its own block number (block chains, and bitcoin when the
       tx has no time) or the tx's block (ethereum, arbitrum).
     Requests without a key skip the join they cannot match, so no NULL key is
-    ever shuffled.
+    ever shuffled. ``staged_path`` names a folder for the requests with their
+    blocks, so that finding the hot blocks does not repeat the transaction join.
     """
     by_block = requests.where(F.col("lookup") == "block").select(
         *_OUT[:3], F.col("block_number").alias("blk"), F.lit(None).cast("long").alias("tx_time")
@@ -153,7 +161,7 @@ def _resolve(
         # a hash that matches nothing, unique per request
         tx_salt = F.concat(F.lit("\u0000"), F.col("create_order_id"), F.lit("\u0000"), F.col("event"))
         tx = lookup_join(
-            tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_keys(tx_req, ["chain", "tx_hash"], hot_rows), tx_salt
+            tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_keys(tx_req, ["chain", "tx_hash"]), tx_salt
         )
         is_btc = F.col("chain") == "bitcoin"
         blk = (
@@ -168,22 +176,20 @@ def _resolve(
     salt = -(F.pmod(F.xxhash64("create_order_id", "event"), F.lit(1 << 30)) + 1)
     keyed = staged.withColumn("k", F.coalesce(F.col("blk"), salt))
     bt = block_times(blocks).withColumnRenamed("block_number", "k")
-    # Hot blocks are counted on the orders' own block numbers (for ethereum and
-    # arbitrum the tx's block is usually the same); any choice gives the same result.
-    hot_blocks = hot_keys(
-        requests.where(F.col("block_number").isNotNull()).select("chain", F.col("block_number").alias("k")),
-        ["chain", "k"],
-        hot_rows,
-    )
+    if staged_path is not None:
+        keyed.write.parquet(staged_path)
+        keyed = keyed.sparkSession.read.schema(keyed.schema).parquet(staged_path)
+    # counted on the blocks that are really joined
+    hot_blocks = hot_keys(keyed.where(F.col("blk").isNotNull()).select("chain", "k"), ["chain", "k"])
     found = F.when(_truthy(F.col("found_time")), F.col("found_time"))
     return lookup_join(keyed, bt, ["chain", "k"], hot_blocks, salt).select(
         *_OUT[:3], F.when(F.col("blk").isNotNull(), found).otherwise(F.col("tx_time")).alias("block_time")
     )
 
 
-def resolve_by_block(requests: DataFrame, blocks: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def resolve_by_block(requests: DataFrame, blocks: DataFrame) -> DataFrame:
     """Block-number chains (base, bera, unichain, starknet, hyperliquid): block -> time."""
-    return _resolve(requests.where(F.col("lookup") == "block"), blocks, None, hot_rows)
+    return _resolve(requests.where(F.col("lookup") == "block"), blocks, None)
 
 
 def resolve_by_transaction(requests: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -198,9 +204,11 @@ def resolve_bitcoin(requests: DataFrame, transactions: DataFrame, blocks: DataFr
     return _resolve(req, blocks, transactions)
 
 
-def resolve_all(requests: DataFrame, blocks: DataFrame, transactions: DataFrame) -> DataFrame:
+def resolve_all(
+    requests: DataFrame, blocks: DataFrame, transactions: DataFrame, staged_path: str | None = None
+) -> DataFrame:
     """Every request with its found time (epoch seconds) or NULL."""
-    return _resolve(requests, blocks, transactions)
+    return _resolve(requests, blocks, transactions, staged_path)
 
 
 def enriched_parts(final_orders: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,15 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import HOT_KEY_ROWS
+#: Keys that are looked for, and that the sketch tracks to find them.
+HOT_KEYS = 1000
+TRACKED = 10 * HOT_KEYS
+_SEPARATOR = "\u0001"
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys holding at least ``hot_rows`` rows: at most rows(df) / hot_rows of them.
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The heaviest keys, as found by a bounded sketch: at most ``HOT_KEYS`` rows.
 
-    The count is partially aggregated, so a hot key collapses map-side.
+    A key counts as hot from one part in ``HOT_KEYS`` of all rows. The sketch has
+    ``TRACKED`` entries in every task, so no key is shuffled to be counted, and
+    what it finds may be broadcast. It need not be exact: ``lookup_join`` gives
+    the same result for any set of keys.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows).select(*keys)
+    item = F.concat_ws(_SEPARATOR, *[F.col(k).cast("string") for k in keys])
+    sketch = df.select(item.alias("item")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.call_function("approx_top_k", F.col("item"), F.lit(HOT_KEYS), F.lit(TRACKED)).alias("top"),
+    )
+    top = sketch.select("n", F.inline("top")).where(F.col("count") * HOT_KEYS >= F.col("n"))
+    parts = F.split("item", _SEPARATOR, len(keys))
+    kinds = [df.schema[k].dataType for k in keys]
+    return top.select(*[parts[i].cast(kind).alias(k) for i, (k, kind) in enumerate(zip(keys, kinds))])
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt: Column) -> DataFrame:

@@ -6,37 +6,35 @@ original's interpolation fallback only ever fires when that rank is 0, and
 then weighs the rank-1 value twice, so no value is ever interpolated.
 
 A ROW_NUMBER per route sorts a whole route in one task; one route can hold a
-large share of all orders. Instead the value at a rank is found by radix
-selection on the non-negative microsecond values:
-
-    level 1: histogram of v >> 42 per (route, metric, quartile)
-    level 2: histogram of v >> 21 inside the chosen level-1 bucket
-    level 3: histogram of v        inside the chosen level-2 bucket
-
-Each level is a partial (map-side) aggregation, then a running count over at
-most 2^21 buckets per (route, metric, quartile) picks the bucket holding the
-rank and the rank left within it. Level 1 takes n from its own histogram (the
-sum of its buckets), so it does not wait for a separate count. No task ever holds more than 2^21 buckets,
-however many rows a route has. The per-level state has one row per (route,
-metric, quartile), at most len(chains)^2 * 4 * 2 rows, and is broadcast.
+large share of all orders. Instead the value at a rank is found by counting:
+
+    first pass: histogram of floor(2 ** 16 * log(1 + v)) per (route, metric)
+    later passes: histogram of the chosen bucket's range in 2 ** 21 equal parts
+
+Each pass is one scan with a partial (map-side) aggregation and a running count
+over at most 2^22 buckets per (route, metric), whatever rows a route has. The
+logarithm never decreases, so buckets are ranges. A bucket's smallest and
+largest value come with its count: where they agree the value is found, and
+below 51 days two passes always suffice. Between passes the driver holds one
+row per (route, metric, quartile): at most len(chains)^2 * 4 * 2.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..config import FENCED_METRICS
 
 ROUTE = ["source_chain", "destination_chain"]
-LEVEL_SHIFTS: tuple[int, ...] = (42, 21, 0)
-_TOP_SHIFT = 63  # v >> 63 == 0 for every non-negative long
+FIRST_SCALE = 1 << 16
+SPLIT_BITS = 21
 
 
 def metric_values(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
-    """Long form: (route, metric, v) for the non-NULL values, unpivoted in one pass."""
+    """Long form: (route, metric, v), unpivoted in one pass; v is NULL where the metric is."""
     arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}_us").alias("v")) for m in metrics])
-    return durations_us.select(*ROUTE, F.inline(arr)).where(F.col("v").isNotNull())
+    return durations_us.select(*ROUTE, F.inline(arr))
 
 
 def route_metric_counts(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
@@ -44,102 +42,88 @@ def route_metric_counts(durations_us: DataFrame, metrics: tuple[str, ...] = FENC
     return durations_us.groupBy(*ROUTE).agg(*[F.count(f"{m}_us").alias(f"{m}_count") for m in metrics])
 
 
-def _pick(running: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose bucket holds the wanted rank; the rank left inside the bucket."""
-    return running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
-        *keys,
-        "q",
-        (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"),
-        F.col("bucket").alias("prefix"),
-    )
+def _first_bucket() -> Column:
+    return F.floor(F.log1p(F.col("v").cast("double")) * FIRST_SCALE)
 
 
-def _first_level(values: DataFrame, keys: list[str], shift: int) -> DataFrame:
-    """Level 1 needs no targets: n comes from the same histogram (the sum of its buckets)."""
-    hist = values.groupBy(*keys, F.shiftright(F.col("v"), shift).alias("bucket")).agg(F.count(F.lit(1)).alias("cnt"))
-    whole = Window.partitionBy(*keys)
-    upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = hist.select(
-        *keys, "bucket", "cnt", F.sum("cnt").over(upto).alias("upto"), (F.sum("cnt").over(whole) + 1).alias("n1")
+def _histogram(values: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    return values.groupBy(*keys, bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    # rank floor(q * (n + 1) / 4) for q = 1, 3; division by 4 is exact in binary floating point
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(q).alias("q"),
-                F.greatest(F.lit(1).cast("long"), F.floor(q * F.col("n1") / 4).cast("long")).alias("r"),
-            )
-            for q in (1, 3)
-        ]
-    )
-    ranked = counted.select(*keys, "bucket", "cnt", "upto", F.inline(targets))
-    return _pick(ranked, keys)
 
 
-def select_quartiles(values: DataFrame, keys: list[str]) -> DataFrame:
-    """The values at the q1 and q3 ranks of every key group: keys + ``q`` + ``value``."""
-    state = _first_level(values, keys, LEVEL_SHIFTS[0])
-    return _refine(values, state, keys, LEVEL_SHIFTS[0], LEVEL_SHIFTS[1:])
+def _running(hist: DataFrame, keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return hist.withColumn("upto", F.sum("cnt").over(w))
 
 
-def select_ranks(values: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """The value at ``rank`` (1-based, ascending) for every target row.
-
-    ``values``: keys + ``v`` (non-negative long); ``targets``: keys + ``q`` + ``rank``,
-    where (keys, ``q``) names one target. Returns keys + ``q`` + ``value``.
-    """
-    state = targets.select(*keys, "q", F.col("rank").alias("r"), F.lit(0).cast("long").alias("prefix"))
-    return _refine(values, state, keys, _TOP_SHIFT, LEVEL_SHIFTS)
+def _holding(running: DataFrame, keys: list[str]) -> DataFrame:
+    """Buckets that hold the wanted rank, with the rank left inside and the bucket's range."""
+    return running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
+        *keys, "q", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"), "lo", "hi"
+    )
 
 
-def _refine(values: DataFrame, state: DataFrame, keys: list[str], prev: int, shifts) -> DataFrame:
-    for shift in shifts:
-        hist = (
-            values.join(F.broadcast(state), keys)
-            .where(F.shiftright(F.col("v"), prev) == F.col("prefix"))
-            .groupBy(*keys, "q", "r", F.shiftright(F.col("v"), shift).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("cnt"))
-        )
-        w = Window.partitionBy(*keys, "q").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        state = _pick(hist.withColumn("upto", F.sum("cnt").over(w)), keys)
-        prev = shift
-    return state.select(*keys, "q", F.col("prefix").alias("value"))
+def _narrow(values: DataFrame, keys: list[str], found: list[Row]) -> list[Row]:
+    """Pass after pass over the values of ranges that still hold several, until every rank has its value."""
+    kinds = {f.name: f.dataType.simpleString() for f in values.schema.fields}
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["q long", "r long", "lo long", "hi long", "shift int"])
+    while open_ranges := [r for r in found if r["lo"] < r["hi"]]:
+        rows = [
+            (*[r[k] for k in keys], r["q"], r["r"], r["lo"], r["hi"], max(0, (r["hi"] - r["lo"]).bit_length() - SPLIT_BITS))
+            for r in open_ranges
+        ]
+        ranges = F.broadcast(values.sparkSession.createDataFrame(rows, schema).withColumnsRenamed({"lo": "from", "hi": "to"}))
+        inside = values.join(ranges, keys).where(F.col("v").between(F.col("from"), F.col("to")))
+        part = F.call_function("shiftright", F.col("v") - F.col("from"), F.col("shift"))
+        hist = _histogram(inside, [*keys, "q", "r"], part)
+        done = [r for r in found if r["lo"] == r["hi"]]
+        found = done + _holding(_running(hist, [*keys, "q", "r"]), keys).collect()
+    return found
+
+
+def select_ranks(values: DataFrame, targets: list[tuple], keys: list[str]) -> list[Row]:
+    """The value at an ascending rank (1-based) for every target: keys, q, r, lo, hi.
+
+    ``values``: keys + ``v`` (non-negative long, NULLs left out); ``targets``:
+    tuples of keys, ``q`` and rank, where (keys, ``q``) names one target. They
+    and the result are on the driver: the caller's few ranks. ``lo`` and ``hi``
+    are the value, ``r`` the rank among the rows that equal it.
+    """
+    values = values.where(F.col("v").isNotNull())
+    kinds = {f.name: f.dataType.simpleString() for f in values.schema.fields}
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["q long", "r long"])
+    wanted = F.broadcast(values.sparkSession.createDataFrame(targets, schema))
+    running = _running(_histogram(values, keys, _first_bucket()), keys)
+    return _narrow(values, keys, _holding(running.join(wanted, keys), keys).collect())
 
 
 def route_quartiles_us(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
-    """Per route with eligible orders: ``q1_<m>_us``, ``q3_<m>_us`` (NULL when the metric has no value)."""
-    counts = route_metric_counts(durations_us, metrics)
-    picked = select_quartiles(metric_values(durations_us, metrics), [*ROUTE, "metric"])
-    wide = picked.groupBy(*ROUTE).agg(
+    """Per route with eligible orders: ``q1_<m>_us``, ``q3_<m>_us`` (NULL when the metric has no value).
+
+    Runs the passes now; the result is a local table of at most one row per route.
+    """
+    keys = [*ROUTE, "metric"]
+    values = metric_values(durations_us, metrics)
+    hist = _histogram(values, keys, _first_bucket())
+    some = hist.where(F.col("bucket").isNotNull())
+    n1 = F.sum("cnt").over(Window.partitionBy(*keys)) + 1
+    # rank floor(q * (n + 1) / 4) for q = 1, 3; division by 4 is exact in binary floating point
+    ranks = F.array(
         *[
-            F.max(F.when((F.col("metric") == m) & (F.col("q") == q), F.col("value"))).alias(f"q{q}_{m}_us")
-            for m in metrics
+            F.struct(F.lit(q).cast("long").alias("q"), F.greatest(F.lit(1).cast("long"), F.floor(q * F.col("n1") / 4).cast("long")).alias("r"))
             for q in (1, 3)
         ]
     )
-    return counts.select(*ROUTE).join(wide, ROUTE, "left")
-
-
-def route_quartiles_by_row_number(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
-    """The original's shape (ROW_NUMBER per route, value at the target rank).
-
-    Sorts each route in one task: a test oracle for small inputs, not for scale.
-    """
-    counts = route_metric_counts(durations_us, metrics)
-    out = counts.select(*ROUTE)
-    for m in metrics:
-        w = Window.partitionBy(*ROUTE).orderBy(F.col(f"{m}_us").asc_nulls_last())
-        ranked = durations_us.where(F.col(f"{m}_us").isNotNull()).select(
-            *ROUTE, F.col(f"{m}_us").alias("v"), F.row_number().over(w).alias("rn")
-        )
-        c = counts.select(*ROUTE, F.col(f"{m}_count").alias("n"))
-        j = ranked.join(c, ROUTE)
-        n1 = F.col("n") + 1
-        r1 = F.greatest(F.lit(1), F.floor(n1 / 4))
-        r3 = F.greatest(F.lit(1), F.floor(3 * n1 / 4))
-        per = j.groupBy(*ROUTE).agg(
-            F.max(F.when(F.col("rn") == r1, F.col("v"))).alias(f"q1_{m}_us"),
-            F.max(F.when(F.col("rn") == r3, F.col("v"))).alias(f"q3_{m}_us"),
-        )
-        out = out.join(per, ROUTE, "left")
-    return out
+    running = _running(some, keys).withColumn("n1", n1).select("*", F.inline(ranks))
+    # The routes come with the same histogram, also those without any value.
+    none = [F.lit(None).cast("long").alias(c) for c in ("q", "r", "lo", "hi")]
+    listed = hist.groupBy(*ROUTE).agg(F.min("metric").alias("metric")).select(*keys, *none)
+    found = _holding(running, keys).unionByName(listed).collect()
+    routes = sorted({tuple(r[k] for k in ROUTE) for r in found}, key=repr)
+    picked = {
+        (*[r[k] for k in keys], r["q"]): r["lo"] for r in _narrow(values, keys, [r for r in found if r["q"] is not None])
+    }
+    rows = [(*route, *[picked.get((*route, m, q)) for m in metrics for q in (1, 3)]) for route in routes]
+    schema = ", ".join([f"{c} string" for c in ROUTE] + [f"q{q}_{m}_us long" for m in metrics for q in (1, 3)])
+    return durations_us.sparkSession.createDataFrame(rows, schema)

@@ -224,15 +224,14 @@ def write_orders_by_route(docs: DataFrame, path: str) -> None:
     )
 
 
-AVERAGES_MESSAGE = "Average durations for all chain combinations (in seconds, excluding anomalies via IQR)"
-
-
-def averages_document(last_updated_df: DataFrame, matrix: DataFrame, fences: DataFrame) -> DataFrame:
+def averages_document(last_updated_df: DataFrame, matrix: DataFrame, averages: DataFrame, fences: DataFrame) -> DataFrame:
     """The averages answer as one JSON text row: last_updated, averages and thresholds keyed by route.
 
-    Every input is bounded by the chain list (1 row, chains^2 routes, chains^2 x 4
-    fences), so gathering them into one row is bounded too. One aggregate over a
-    tagged union builds it; entries are sorted by route.
+    Thresholds are given for routes that have normal orders (rows of
+    ``averages``) only, as the service did. Every input is bounded by the chain
+    list (1 row, chains^2 routes, chains^2 x 4 fences), so gathering them into
+    one row is bounded too. One aggregate over a tagged union builds it; entries
+    are sorted by route.
     """
     opts = {"ignoreNullFields": "false"}
     avg_fields = ["total_orders", *[f"avg_{m}_duration" for m in ALL_METRICS]]
@@ -241,48 +240,30 @@ def averages_document(last_updated_df: DataFrame, matrix: DataFrame, fences: Dat
         F.col("route").alias("k"),
         F.to_json(F.struct(*avg_fields), opts).alias("v"),
     )
-    per_route = fences.groupBy(*ROUTE).agg(
-        F.array_sort(
-            F.collect_list(
-                F.concat(
-                    F.lit('"'),
-                    F.col("metric"),
-                    F.lit('":'),
-                    F.to_json(F.struct(F.col("lower_fence").alias("lower"), F.col("upper_fence").alias("upper")), opts),
-                )
-            )
-        ).alias("entries")
+    entry = F.struct(
+        F.col("metric"),
+        F.to_json(F.struct(F.col("lower_fence").alias("lower"), F.col("upper_fence").alias("upper")), opts).alias("v"),
     )
-    th_rows = per_route.select(
-        F.lit("t").alias("kind"),
-        F.concat_ws("-", *ROUTE).alias("k"),
-        F.concat(F.lit("{"), F.array_join("entries", ","), F.lit("}")).alias("v"),
+    kept = fences.join(F.broadcast(averages.select(*ROUTE)), ROUTE, "left_semi")
+    th_rows = kept.groupBy(*ROUTE).agg(F.array_sort(F.collect_list(entry)).alias("e")).select(
+        F.lit("t").alias("kind"), F.concat_ws("-", *ROUTE).alias("k"), _object("e", "metric").alias("v")
     )
     lu_rows = last_updated_df.select(F.lit("l").alias("kind"), F.lit("").alias("k"), F.col("last_updated").alias("v"))
     tagged = avg_rows.unionByName(th_rows).unionByName(lu_rows)
 
-    def obj(kind: str) -> Column:
-        entries = F.collect_list(
-            F.when(F.col("kind") == kind, F.concat(F.lit('"'), F.col("k"), F.lit('":'), F.col("v")))
-        )
-        return F.concat(F.lit("{"), F.array_join(F.array_sort(entries), ","), F.lit("}"))
+    def entries(kind: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("k", "v")))).alias(kind)
 
-    doc = tagged.agg(
-        F.max(F.when(F.col("kind") == "l", F.col("v"))).alias("last_updated"),
-        obj("a").alias("averages"),
-        obj("t").alias("thresholds"),
-    )
-    return doc.select(
-        F.concat(
-            F.lit('{"message":"' + AVERAGES_MESSAGE + '","last_updated":"'),
-            F.col("last_updated"),
-            F.lit('","averages":'),
-            F.col("averages"),
-            F.lit(',"thresholds":'),
-            F.col("thresholds"),
-            F.lit("}"),
-        ).alias("document")
-    )
+    doc = tagged.agg(F.max(F.when(F.col("kind") == "l", F.col("v"))).alias("l"), entries("a"), entries("t"))
+    parts = [F.lit('{"last_updated":"'), F.col("l"), F.lit('","averages":'), _object("a", "k")]
+    parts += [F.lit(',"thresholds":'), _object("t", "k"), F.lit("}")]
+    return doc.select(F.concat(*parts).alias("document"))
+
+
+def _object(entries: str, key: str) -> Column:
+    """A JSON object from (key, JSON text) entries."""
+    texts = F.transform(entries, lambda e: F.concat(F.lit('"'), e[key], F.lit('":'), e["v"]))
+    return F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}"))
 
 
 def averages_by_route(matrix: DataFrame) -> DataFrame:

@@ -126,6 +126,22 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINAL_ORDERS.fields])
 
 
+REQUIRED = [f.name for f in FINAL_ORDERS.fields if not f.nullable]
+
+
+def storable(candidates: DataFrame) -> DataFrame:
+    """Candidates that have every column the table requires."""
+    return candidates.dropna(subset=REQUIRED)
+
+
+def rejected(candidates: DataFrame) -> DataFrame:
+    """Candidates the table refuses, each with the required columns it lacks."""
+    lacks = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED]))
+    return candidates.select("create_order_id", "source_swap_id", "destination_swap_id", lacks.alias("missing")).where(
+        F.size("missing") > 0
+    )
+
+
 # Tie order among several candidates for one order; the original leaves it open.
 _FIRST_WINS = ["source_swap_id", "destination_swap_id", "created_at", "source_chain", "destination_chain", "secret_hash"]
 
@@ -152,8 +168,10 @@ def append_new_orders(candidates: DataFrame, existing: DataFrame | None) -> Data
     """Rows to insert: candidates whose order is not stored yet (first write wins).
 
     Appending the result and running again yields nothing new (idempotent).
+    Candidates that lack a required column are refused, as the table's NOT NULL
+    rules did (``rejected`` lists them).
     """
-    first = first_per_order(candidates)
+    first = first_per_order(storable(candidates))
     if existing is None:
         return first
     return first.join(existing.select("create_order_id"), "create_order_id", "left_anti").select(*FINAL_ORDER_COLUMNS)

@@ -1,10 +1,12 @@
 """End-to-end plans: the sync job (settle + append + enrich) and the analysis report.
 
-Each function composes lazy DataFrames; nothing is collected to the driver.
+What is read more than once is written once to the shared checkpoint directory.
+The driver collects quartiles only (at most one row per route, metric and quartile).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import SUPPORTED_CHAINS
 from ..operators import durations as dur
 from ..operators import enrich, quantiles, routes, settle
+from ..session import checkpoint_dir
 from ..sources import store
 from ..sources.fixtures import Sources
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A fresh folder in the shared checkpoint directory, for a run's intermediate tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class EnrichmentRun:
     requests: DataFrame
@@ -30,9 +38,13 @@ def new_orders(sources: Sources, existing: DataFrame | None) -> DataFrame:
     return settle.append_new_orders(candidates, existing)
 
 
-def enrichment(final_orders: DataFrame, sources: Sources) -> EnrichmentRun:
+def enrichment(final_orders: DataFrame, sources: Sources, work: str | None = None) -> EnrichmentRun:
+    """The enrichment plans. With ``work``, a fresh folder, the requests are written there once."""
     requests = enrich.lookup_requests(final_orders)
-    resolved = enrich.resolve_all(requests, sources.blocks, sources.transactions)
+    if work is not None:
+        requests.write.parquet(f"{work}/requests")
+        requests = requests.sparkSession.read.schema(requests.schema).parquet(f"{work}/requests")
+    resolved = enrich.resolve_all(requests, sources.blocks, sources.transactions, work and f"{work}/staged")
     return EnrichmentRun(
         requests=requests,
         resolved=resolved,
@@ -41,18 +53,12 @@ def enrichment(final_orders: DataFrame, sources: Sources) -> EnrichmentRun:
     )
 
 
-def sync_to_store(spark: SparkSession, sources: Sources, table_path: str) -> None:
-    """The recurring sync: create the table if missing, append new settled orders."""
-    existing = store.ensure_table(spark, table_path)
-    store.write_orders(new_orders(sources, existing), table_path, mode="append")
-
-
 def enrich_store(spark: SparkSession, sources: Sources, table_path: str, snapshot_path: str) -> DataFrame:
     """Fill timestamps; writes the updated table to a new snapshot path (never the one read)."""
     if snapshot_path.rstrip("/") == table_path.rstrip("/"):
         raise ValueError("enrichment must write a new snapshot, not the table it reads")
     table = store.read_orders_table(spark, table_path)
-    run = enrichment(table, sources)
+    run = enrichment(table, sources, work_folder(spark))
     store.write_snapshot(*enrich.enriched_parts(table, run.resolved), snapshot_path)
     return store.read_orders_table(spark, snapshot_path)
 
@@ -77,8 +83,13 @@ def analysis(
     start_time: str | None = None,
     end_time: str | None = None,
     chains: tuple[str, ...] = SUPPORTED_CHAINS,
+    work: str | None = None,
 ) -> Analysis:
+    """The analysis of a window; the durations are written once, to ``work`` or a fresh folder."""
     d = dur.order_durations_us(final_orders, start_time, end_time, chains)
+    path = f"{work or work_folder(final_orders.sparkSession)}/durations"
+    d.write.parquet(path)
+    d = final_orders.sparkSession.read.schema(d.schema).parquet(path)
     q = quantiles.route_quartiles_us(d)
     return Analysis(
         durations_us=d,
@@ -93,11 +104,12 @@ def averages_report(final_orders: DataFrame, start_time=None, end_time=None, cha
     """What the averages endpoint answered: last_updated, the route grid, and fences."""
     a = analysis(final_orders, start_time, end_time, chains)
     last = routes.last_updated(final_orders)
-    grid = routes.route_matrix(routes.route_averages(a.normal_us), chains)
+    averages = routes.route_averages(a.normal_us)
+    grid = routes.route_matrix(averages, chains)
     fences = routes.route_fences(a.quartiles_us)
     return {
         "last_updated": last,
         "averages": grid,
         "thresholds": fences,
-        "document": routes.averages_document(last, grid, fences),
+        "document": routes.averages_document(last, grid, averages, fences),
     }

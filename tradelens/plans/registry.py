@@ -9,21 +9,19 @@ form the service answered with, and nested rows are flattened.
 
 from __future__ import annotations
 
-import hashlib
-import re
 import uuid
 from collections.abc import Callable
-from pathlib import Path
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import iso_utc
+from ..functions.columns import instant, iso_utc
 from ..operators import browse, enrich, routes, settle
 from ..operators import durations as dur
 from ..sources.fixtures import Sources, derive_sources
-from ..session import checkpoint_dir, ensure_utc
+from ..session import checkpoint_dir
 from ..sources import store
 from ..operators.durations import parse_window
 from .pipelines import Analysis, EnrichmentRun, analysis, enrichment, new_orders
@@ -34,6 +32,7 @@ WINDOW_END = "1999-12-31"
 EARLIER_SYNC_BEFORE = "1998-01-01"
 PAGE_ALL = (1, 10)
 PAGE_SUCCESSFUL = (2, 20)
+PAGE_DEEP = (500, 20)
 
 
 def api_view(df: DataFrame) -> DataFrame:
@@ -56,162 +55,81 @@ def flat_page(page: DataFrame) -> DataFrame:
 
 
 class _State:
-    """Tables for one (session, data folder), written once to the shared checkpoint folder.
+    """The service's tables for one (application, data folder, content of the input).
 
-    Like the service's databases: the source tables, the analysis table after
-    the sync (``stored``) and after enrichment (``enriched``). Queries over a
-    stored table read Parquet with pushed filters and pruned columns instead of
-    re-planning the whole lineage. The folder name carries a hash of the code
-    that builds the tables, so a table is reused only by the same code.
+    The source tables, the analysis table after the sync (``stored``) and after
+    enrichment (``enriched``) are written to a fresh folder of the shared
+    checkpoint directory when a query first needs them, as the service's
+    databases hold them. Nothing is found there by name: another application,
+    or the same one after the input's files have changed, writes its own.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, base: str | None = None):
-        ensure_utc(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self.base = base or f"{_state_root(spark).rstrip('/')}/tradelens-{STATE_VERSION}/{_tag(sf_dir)}"
+        self.base = base or f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{uuid.uuid4().hex}"
         self.window = parse_window(WINDOW_START, WINDOW_END)
-        self._src: Sources | None = None
-        self._stored: DataFrame | None = None
-        self._enriched: DataFrame | None = None
-        self._an: Analysis | None = None
 
-    @property
+    @cached_property
     def src(self) -> Sources:
-        if self._src is None:
-            derived = derive_sources(self.spark, self.sf_dir)
-            # one file per core at least, so that scans of these small tables run in parallel
-            parts = max(self.spark.sparkContext.defaultParallelism, 1)
-            tables = {}
-            for name in ("create_orders", "matched_orders", "swaps", "blocks", "transactions"):
-                path = f"{self.base}/{name}"
-                df = getattr(derived, name)
-                done = _write_once(self.spark, path, lambda p, df=df: df.repartition(parts).write.parquet(p))
-                tables[name] = self.spark.read.parquet(done)
-            self._src = Sources(**tables)
-        return self._src
-
-    @property
+        derived = derive_sources(self.spark, self.sf_dir)
+        tables = {}
+        for name in ("create_orders", "matched_orders", "swaps", "blocks", "transactions"):
+            path = f"{self.base}/{name}"
+            getattr(derived, name).write.parquet(path)
+            tables[name] = self.spark.read.parquet(path)
+        return Sources(**tables)
+
+    @cached_property
     def stored(self) -> DataFrame:
         """The analysis table after one sync into an empty table."""
-        if self._stored is None:
-            path = f"{self.base}/final_orders_synced"
-            done = _write_once(
-                self.spark, path, lambda p: store.write_orders(new_orders(self.src, existing=None), p, "errorifexists")
-            )
-            self._stored = store.read_orders_table(self.spark, done)
-        return self._stored
+        path = f"{self.base}/final_orders_synced"
+        store.write_orders(new_orders(self.src, existing=None), path, "errorifexists")
+        return store.read_orders_table(self.spark, path)
 
-    @property
+    @cached_property
     def run(self) -> EnrichmentRun:
-        return enrichment(self.stored, self.src)
+        return enrichment(self.stored, self.src, f"{self.base}/enrichment")
+
+    @cached_property
+    def enriched_path(self) -> str:
+        path = f"{self.base}/final_orders_enriched"
+        store.write_snapshot(*enrich.enriched_parts(self.stored, self.run.resolved), path)
+        return path
 
     @property
     def enriched(self) -> DataFrame:
         """The analysis table after one enrichment pass (a new snapshot)."""
-        if self._enriched is None:
-            path = f"{self.base}/final_orders_enriched"
-            self._enriched_path = _write_once(
-                self.spark, path, lambda p: store.write_snapshot(*enrich.enriched_parts(self.stored, self.run.resolved), p)
-            )
-            self._enriched = store.read_orders_table(self.spark, self._enriched_path)
-        return self._enriched
+        return store.read_orders_table(self.spark, self.enriched_path)
 
-    @property
+    @cached_property
     def an(self) -> Analysis:
-        if self._an is None:
-            self.enriched  # written if missing
-            pruned = store.read_orders_table(self.spark, self._enriched_path, *self.window)
-            self._an = analysis(pruned, WINDOW_START, WINDOW_END)
-        return self._an
-
-
-def _code_hash() -> str:
-    """Hash of the modules that decide the stored tables' contents."""
-    root = Path(__file__).resolve().parent.parent
-    h = hashlib.sha1()
-    for rel in sorted(
-        [
-            "config.py",
-            "functions/columns.py",
-            "sources/fixtures.py",
-            "sources/schemas.py",
-            "sources/store.py",
-            "operators/settle.py",
-            "operators/enrich.py",
-            "operators/joins.py",
-            "plans/pipelines.py",
-        ]
-    ):
-        h.update((root / rel).read_bytes())
-    return h.hexdigest()[:12]
-
+        pruned = store.read_orders_table(self.spark, self.enriched_path, *self.window)
+        return analysis(pruned, WINDOW_START, WINDOW_END, work=f"{self.base}/analysis")
 
-STATE_VERSION = _code_hash()
 
-
-def _state_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir`` itself (shared across sessions), else the session's."""
-    try:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    except Exception:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or checkpoint_dir(spark)
-
-
-def _tag(sf_dir: str) -> str:
-    return re.sub(r"[^A-Za-z0-9._-]+", "_", sf_dir.strip("/")) or "root"
-
-
-def _fs(spark: SparkSession, path: str):
+def input_signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, length and modification time of every file of the input table."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """A folder written to the end by a Spark job (its ``_SUCCESS`` marker exists)."""
-    try:
-        p, fs = _fs(spark, f"{path}/_SUCCESS")
-        return bool(fs.exists(p))
-    except Exception:  # no JVM handle (Spark Connect): rebuild the table
-        return False
-
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/orders.parquet")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
-def _write_once(spark: SparkSession, path: str, write) -> str:
-    """Write a table unless a complete one is there: into a fresh folder, then renamed into place.
 
-    A failed or concurrent writer never leaves a half-written table at ``path``.
-    Returns the folder to read.
-    """
-    if _complete(spark, path):
-        return path
-    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-    write(tmp)
-    try:
-        dst, fs = _fs(spark, path)
-        src, _ = _fs(spark, tmp)
-    except Exception:  # no JVM handle (Spark Connect): read the fresh folder itself
-        return tmp
-    if not _complete(spark, path):
-        if fs.exists(dst):
-            fs.delete(dst, True)  # an incomplete earlier attempt
-        if not fs.rename(src, dst) and not _complete(spark, path):
-            raise RuntimeError(f"could not publish {path}")
-    if fs.exists(src):
-        fs.delete(src, True)  # another writer finished first
-    return path
-
-
-_STATES: dict[tuple[int, str], _State] = {}
+_STATES: dict[tuple[str, str], tuple[tuple, _State]] = {}
 
 
 def state(spark: SparkSession, sf_dir: str, base: str | None = None) -> _State:
-    """The tables for ``sf_dir``; ``base`` picks (and replaces) the folder they are written to."""
-    key = (id(spark), sf_dir)
-    if key not in _STATES or (base is not None and _STATES[key].base != base):
-        _STATES[key] = _State(spark, sf_dir, base)
-    return _STATES[key]
+    """The tables for ``sf_dir`` as its files are now; ``base`` picks (and replaces) the folder they are written to."""
+    key, signature = (spark.sparkContext.applicationId, sf_dir), input_signature(spark, sf_dir)
+    known = _STATES.get(key)
+    if known is None or known[0] != signature or (base is not None and known[1].base != base):
+        _STATES[key] = signature, _State(spark, sf_dir, base)
+    return _STATES[key][1]
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
@@ -219,7 +137,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     st = state(spark, sf_dir)
     st.src
     st.stored
-    st.enriched
+    st.enriched_path
 
 
 def q_settled_orders(spark, sf_dir):
@@ -231,7 +149,7 @@ def q_append_new_orders(spark, sf_dir):
     st = state(spark, sf_dir)
     candidates = settle.settled_orders(st.src.create_orders, st.src.matched_orders, st.src.swaps)
     earlier = settle.first_per_order(
-        candidates.where(F.col("created_at") < F.lit(EARLIER_SYNC_BEFORE).cast("timestamp"))
+        candidates.where(F.col("created_at") < instant(parse_window(EARLIER_SYNC_BEFORE)[0]))
     )
     return api_view(settle.append_new_orders(candidates, earlier))
 
@@ -338,9 +256,41 @@ def q_successful_matched_orders_page(spark, sf_dir):
     return flat_page(browse.successful_matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_SUCCESSFUL))
 
 
+def q_matched_orders_deep_page(spark, sf_dir):
+    s = state(spark, sf_dir).src
+    return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_DEEP))
+
+
 def q_page_info(spark, sf_dir):
+    return browse.page_info(state(spark, sf_dir).src.matched_orders, *PAGE_ALL)
+
+
+def q_listable_items(spark, sf_dir):
     s = state(spark, sf_dir).src
-    return browse.page_info(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL)
+    return browse.listable_items(s.matched_orders, s.create_orders, s.swaps)
+
+
+def q_matched_page_document(spark, sf_dir):
+    s = state(spark, sf_dir).src
+    page = browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL)
+    return browse.page_document(page, browse.page_info(s.matched_orders, *PAGE_ALL))
+
+
+def q_lookup_requests_by_id(spark, sf_dir):
+    stored = state(spark, sf_dir).stored
+    return enrich.lookup_requests(stored, enrich.timestamp_candidates(stored))
+
+
+def q_averages_by_route(spark, sf_dir):
+    grid = routes.route_matrix(routes.route_averages(state(spark, sf_dir).an.normal_us))
+    return routes.averages_by_route(grid).select(F.to_json("averages", {"ignoreNullFields": "false"}).alias("averages"))
+
+
+def q_averages_document(spark, sf_dir):
+    st = state(spark, sf_dir)
+    averages = routes.route_averages(st.an.normal_us)
+    last = routes.last_updated(st.enriched)
+    return routes.averages_document(last, routes.route_matrix(averages), averages, routes.route_fences(st.an.quartiles_us))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -370,4 +320,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "matched_orders_page": q_matched_orders_page,
     "successful_matched_orders_page": q_successful_matched_orders_page,
     "page_info": q_page_info,
+    "matched_orders_deep_page": q_matched_orders_deep_page,
+    "listable_items": q_listable_items,
+    "matched_page_document": q_matched_page_document,
+    "lookup_requests_by_id": q_lookup_requests_by_id,
+    "averages_by_route": q_averages_by_route,
+    "averages_document": q_averages_document,
 }

@@ -1,10 +1,10 @@
-"""Session helpers: UTC clock, AQE, and the shared checkpoint folder."""
+"""Session helpers: AQE, and the shared checkpoint folder. Results do not depend on the session's time zone."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tradelens") -> SparkSession:
@@ -26,36 +26,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """The source data is stored and compared in UTC; pin the session clock."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the cluster; only when it is unset (local tests)
-    a private temporary folder is chosen.
+    On a cluster it is set by the cluster, and without it this is an error: a
+    folder of the driver's machine would not be seen by the executors. Only a
+    local master (one process) may go without; it gets a private folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no context; the setting must come from the session
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set")
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if configured:
         return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tradelens-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tradelens-ckpt-"))
+    return sc.getCheckpointDir()

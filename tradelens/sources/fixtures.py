@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_utc
-
 # The nine chain names a key is mapped to (eight supported plus one unsupported).
 FIXTURE_CHAINS = ["arbitrum", "base", "bitcoin", "ethereum", "hyperliquid", "starknet", "bera", "unichain", "solana"]
 EPOCH_SHIFT = 700_000_000
@@ -37,13 +35,21 @@ def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def _utc(orders: DataFrame, c: str) -> Column:
+    """A timestamp column as an instant; one without a zone is on the UTC clock."""
+    if orders.schema[c].dataType.typeName() == "timestamp":
+        return F.col(c)
+    text = F.col(c).cast("timestamp_ntz").cast("string")
+    return F.concat(text, F.lit("+00:00")).cast("timestamp")
+
+
 def _offsets(orders: DataFrame) -> DataFrame:
     """Per order: ids, chains, and the block offsets of the lifecycle."""
     base = orders.select(
         F.col("o_orderkey").alias("k"),
         F.col("o_orderstatus").alias("st"),
-        F.col("o_orderdate").cast("timestamp").alias("created_at"),
-        (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) - EPOCH_SHIFT).alias("e"),
+        _utc(orders, "o_orderdate").alias("created_at"),
+        (F.unix_seconds(_utc(orders, "o_orderdate")) - EPOCH_SHIFT).alias("e"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("x"),
         _chain_of(F.col("o_custkey")).alias("source_chain"),
         _chain_of(F.col("o_orderkey") + F.col("o_custkey")).alias("destination_chain"),
@@ -74,7 +80,6 @@ def _offsets(orders: DataFrame) -> DataFrame:
 
 
 def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    ensure_utc(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     off = _offsets(orders)
     x, k, out = F.col("x"), F.col("k"), F.col("outcome")
@@ -101,7 +106,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         F.col("created_at").alias("updated_at"),
         F.when(x % 97 == 0, F.col("created_at")).alias("deleted_at"),
     )
-    src_swaps = off.select(
+    source_leg = F.struct(
         F.concat(F.lit("ss_"), _s("k")).alias("swap_id"),
         F.col("created_at").alias("updated_at"),
         F.col("source_chain").alias("chain"),
@@ -114,7 +119,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         F.when(redeem_src, b_ui + d_ci + d_ur + d_cr).when(even, F.lit(0)).alias("redeem_block_number"),
         F.when(refund_src, b_ui + d_ci + 7200 + d_cr).when(odd, F.lit(0)).alias("refund_block_number"),
     )
-    dst_swaps = off.select(
+    destination_leg = F.struct(
         F.concat(F.lit("ds_"), _s("k")).alias("swap_id"),
         F.col("created_at").alias("updated_at"),
         F.col("destination_chain").alias("chain"),
@@ -125,7 +130,8 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         F.when(redeem_dst, b_ui + d_ci + d_ur).when(even, F.lit(0)).alias("redeem_block_number"),
         F.when(refund_dst, b_ui + d_ci + 7200 + d_ur).when(odd, F.lit(0)).alias("refund_block_number"),
     )
-    swaps = src_swaps.unionByName(dst_swaps)
+    # both legs of an order in one pass
+    swaps = off.select(F.inline(F.array(source_leg, destination_leg)))
 
     # One row per (chain, hash, block) the swaps mention, unpivoted in one pass.
     legs = swaps.select(

@@ -1,0 +1,103 @@
+"""The analysis table as months of Parquet folders under numbered manifests.
+
+    <root>/data/run=<id>/created_month=<first day>/part-*.parquet
+    <root>/manifest/<number>.json        {month: [its folders]}
+
+A version of the table is what the highest manifest lists. Writers put their
+files into folders of their own and then create the next manifest, which fails
+if another writer has created it first; that writer starts again from the new
+version. So readers see whole versions, months that a run does not touch keep
+their files, and two overlapping syncs cannot both store an order.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
+
+from .schemas import FINAL_ORDER_COLUMNS, FINAL_ORDERS
+from .store import PARTITION_COLUMN, month_of
+
+Months = dict[str, list[str]]
+
+
+class OrdersTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def version(self) -> tuple[int, Months]:
+        """The newest manifest's number and months; (0, {}) where there is none."""
+        folder = self._path("manifest")
+        if not self._fs.exists(folder):
+            return 0, {}
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        numbers = [int(n.removesuffix(".json")) for n in names if n.endswith(".json")]
+        if not numbers:
+            return 0, {}
+        stream = self._fs.open(self._path(f"manifest/{max(numbers):08d}.json"))
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return max(numbers), json.loads(text)
+
+    def read(self, months: Months, only: set[str] | None = None) -> DataFrame:
+        """Rows of a version, or of some of its months."""
+        folders = [f"{self.root}/{f}" for m, fs in sorted(months.items()) if only is None or m in only for f in fs]
+        if not folders:
+            return self.spark.createDataFrame([], FINAL_ORDERS)
+        rows = self.spark.read.schema(FINAL_ORDERS).option("basePath", f"{self.root}/data").parquet(*folders)
+        return rows.select(*FINAL_ORDER_COLUMNS)
+
+    def write(self, rows: DataFrame) -> Months:
+        """Write rows to folders of their own, by month; not yet part of any version."""
+        run = f"data/run={uuid.uuid4().hex}"
+        (
+            rows.select(*FINAL_ORDER_COLUMNS)
+            .repartitionByRange("created_at", "create_order_id")
+            .withColumn(PARTITION_COLUMN, month_of("created_at").cast("string"))
+            .write.partitionBy(PARTITION_COLUMN)
+            .parquet(f"{self.root}/{run}")
+        )
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(run))]
+        found = [n for n in names if n.startswith(f"{PARTITION_COLUMN}=")]
+        return {n.partition("=")[2]: [f"{run}/{n}"] for n in sorted(found)}
+
+    def publish(self, number: int, months: Months) -> bool:
+        """Create manifest ``number``; False if another writer already has."""
+        self._fs.mkdirs(self._path("manifest"))
+        try:
+            out = self._fs.create(self._path(f"manifest/{number:08d}.json"), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                return False
+            raise
+        out.write(bytearray(json.dumps(months, sort_keys=True).encode()))
+        out.close()
+        return True
+
+    def update(self, change) -> DataFrame:
+        """Publish ``change(months) -> months`` over the newest version, again if another writer comes first."""
+        while True:
+            number, months = self.version()
+            new = change(months)
+            if new == months or self.publish(number + 1, new):
+                return self.read(new)
+
+
+def months_of(rows: DataFrame) -> set[str]:
+    """The UTC months that rows lie in: a few hundred for decades of data."""
+    found = rows.select(month_of("created_at").cast("string").alias("m")).distinct().collect()
+    return {r["m"] for r in found}
+
+
+def merged(a: Months, b: Months) -> Months:
+    return {m: [*a.get(m, []), *b.get(m, [])] for m in sorted({*a, *b})}

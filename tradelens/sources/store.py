@@ -10,11 +10,12 @@ snapshot folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.columns import utc_date
 from .schemas import FINAL_ORDER_COLUMNS, FINAL_ORDERS
 
 PARTITION_COLUMN = "created_month"
@@ -33,13 +34,14 @@ def ensure_table(spark: SparkSession, path: str) -> DataFrame:
     try:
         return read_orders_table(spark, path)
     except AnalysisException:
-        empty = spark.createDataFrame([], FINAL_ORDERS).withColumn(PARTITION_COLUMN, _month("created_at"))
+        empty = spark.createDataFrame([], FINAL_ORDERS).withColumn(PARTITION_COLUMN, month_of("created_at"))
         empty.write.mode("ignore").partitionBy(PARTITION_COLUMN).parquet(path)
         return read_orders_table(spark, path)
 
 
-def _month(c: str):
-    return F.trunc(F.col(c), "month")
+def month_of(c: str) -> Column:
+    """First day of the UTC month."""
+    return F.trunc(utc_date(F.unix_micros(c)), "month")
 
 
 def read_orders_table(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
@@ -63,7 +65,7 @@ def write_orders(df: DataFrame, path: str, mode: str = "append") -> None:
     (
         df.select(*FINAL_ORDER_COLUMNS)
         .repartitionByRange("created_at", "create_order_id")
-        .withColumn(PARTITION_COLUMN, _month("created_at"))
+        .withColumn(PARTITION_COLUMN, month_of("created_at"))
         .write.mode(mode)
         .partitionBy(PARTITION_COLUMN)
         .parquet(path)
@@ -79,7 +81,7 @@ def write_snapshot(untouched: DataFrame, changed: DataFrame, path: str) -> None:
     (
         untouched.select(*FINAL_ORDER_COLUMNS)
         .unionByName(changed.select(*FINAL_ORDER_COLUMNS).repartitionByRange("created_at", "create_order_id"))
-        .withColumn(PARTITION_COLUMN, _month("created_at"))
+        .withColumn(PARTITION_COLUMN, month_of("created_at"))
         .write.mode("errorifexists")
         .partitionBy(PARTITION_COLUMN)
         .parquet(path)
