@@ -132,14 +132,6 @@ def state(spark: SparkSession, sf_dir: str, base: str | None = None) -> _State:
     return _STATES[key][1]
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Write the source and analysis tables now (otherwise the first query that needs them does)."""
-    st = state(spark, sf_dir)
-    st.src
-    st.stored
-    st.enriched_path
-
-
 def q_settled_orders(spark, sf_dir):
     s = state(spark, sf_dir).src
     return api_view(settle.settled_orders(s.create_orders, s.matched_orders, s.swaps))
