@@ -107,6 +107,10 @@ def test_pii_random(spark):
     check(pii, "pii", pii.find_pii(documents(spark, texts)), brute_pii, pii.KINDS)
 
 
+def test_many_matches_of_one_text(spark):
+    check(pii, "pii", pii.find_pii(documents(spark, ["é a@b.c " * 1000 + "x", "1.2.3.4" + " 1.2.3.4" * 127, "+123456789, " * 128])), brute_pii, pii.KINDS)
+
+
 def test_redact(spark):
     docs = pii.find_pii(documents(spark, ["write to a@b.co, 😀 1.2.3.4!", "nothing", None]))
     got = {r["doc_id"]: r["x"] for r in docs.select("doc_id", pii.redact(F.col("text"), F.col("pii")).alias("x")).collect()}
