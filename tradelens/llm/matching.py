@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CONTEXT = 24
+RUN = 128
 _MATCH = "struct<start:int,end:int,text:string,before:string,after:string>"
 NONE = f"cast(array() as array<{_MATCH}>)"
 
@@ -25,7 +26,7 @@ def matches(text: Column, pattern: str, gate: Column) -> Column:
     the next character. Texts without ``gate`` cannot match and are not searched.
     """
 
-    def walk(z: Column) -> Column:
+    def step_over(z: Column):
         def step(state: Column, i: Column) -> Column:
             piece, found = F.element_at(z["p"], i), F.element_at(z["m"], i)
             start = state["at"] + F.char_length(piece)
@@ -39,9 +40,25 @@ def matches(text: Column, pattern: str, gate: Column) -> Column:
             )
             return F.struct(end.alias("at"), F.concat(state["out"], F.array(match)).alias("out"))
 
+        return step
+
+    def walk(z: Column) -> Column:
+        """Places within runs of RUN matches, then the runs one after the other: linear in the matches."""
+        runs = F.sequence(F.lit(0), F.floor((F.size(z["m"]) - 1) / RUN).cast("int"))
         first = F.struct(F.lit(0).alias("at"), F.expr(NONE).alias("out"))
-        each = F.aggregate(F.sequence(F.lit(1), F.size(z["m"])), first, step, lambda s: s["out"])
-        return F.when(F.size(z["m"]) > 0, each).otherwise(F.expr(NONE))
+
+        def run(c: Column) -> Column:
+            return F.aggregate(F.sequence(c * RUN + 1, F.least((c + 1) * RUN, F.size(z["m"]))), first, step_over(z))
+
+        def add(state: Column, x: Column) -> Column:
+            return F.struct((state["at"] + x["at"]).alias("at"), F.concat(state["bases"], F.array(state["at"])).alias("bases"))
+
+        def place(x: Column) -> Column:
+            none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("bases"))
+            bases = F.aggregate(x, none, add, lambda s: s["bases"])
+            return let(bases, lambda b: F.flatten(F.transform(x, lambda r, i: _moved(r["out"], F.get(b, i)))))
+
+        return F.when(F.size(z["m"]) > 0, let(F.transform(runs, run), place)).otherwise(F.expr(NONE))
 
     found = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p")
@@ -49,6 +66,13 @@ def matches(text: Column, pattern: str, gate: Column) -> Column:
     return F.when(gate, let(found, walk)).otherwise(F.expr(NONE))
 
 
+def _moved(found: Column, by: Column) -> Column:
+    kept = ("text", "before", "after")
+    return F.transform(
+        found, lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), *[m[k].alias(k) for k in kept])
+    )
+
+
 def overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
