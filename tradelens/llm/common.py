@@ -71,7 +71,12 @@ def _ship_package(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     _ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def text_or_empty(column: str = "text") -> Column:

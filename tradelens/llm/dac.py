@@ -28,7 +28,7 @@ from .wordids import word_encoder
 END_ID = 2
 SEGMENT = 1 << 20
 RANK_BLOCK = 512
-_TEXT_BYTES = 16 << 20
+_TEXT_BYTES = 12 << 20
 _LEVELS = pa.list_(
     pa.struct([("chunks", pa.binary()), ("bits", pa.binary()), ("ranks", pa.binary())])
 )

@@ -36,7 +36,7 @@ WINDOW = 64 * SEQUENCE
 GRAIN = 1024
 END_ID = 1
 MAX_QUEUES = 256
-_TEXT_BYTES = 16 << 20
+_TEXT_BYTES = 12 << 20
 #: How ids are kept between the passes: the tokenizer has fewer than 65,536.
 _STORED = np.dtype("<u2")
 

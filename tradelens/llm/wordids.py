@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD_BPE = "word_bpe_49k.json"
-_KEPT_WORDS = 600_000
+_KEPT_WORDS = 500_000
 # A word is cut into signs, a core and signs where the tokenizer always cuts: the core begins and ends
 # with a letter or digit that lower-cases to one, and the signs hold no apostrophe (contractions) and
 # are no part of a special token. Words of another form are one part.
@@ -61,16 +61,18 @@ class WordEncoder:
         if place.null_count and len(self.known) + place.null_count > _KEPT_WORDS:
             self._forget()
             place = pc.index_in(parts, value_set=self.known)
+        unknown = pc.is_null(place)
+        at = place.fill_null(0).to_numpy().astype(np.int64)
         if place.null_count:
-            new = parts.filter(pc.is_null(place))
+            new = parts.filter(unknown)
+            at[unknown.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-            known = pa.concat_arrays([self.known, new])
-            self.known, self.lengths = known, np.concatenate([self.lengths, lengths])
+            self.known = pa.concat_arrays([self.known, new])
+            self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, flat])
-            place = pc.index_in(parts, value_set=known)
-        return self.flat, self.lengths, place.to_numpy()
+        return self.flat, self.lengths, at
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty), each text closed by ``end_id``, and the end of each text."""
