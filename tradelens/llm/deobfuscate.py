@@ -58,7 +58,7 @@ _TOP = 0x24F
 
 @lru_cache(maxsize=1)
 def _table() -> np.ndarray:
-    table = np.array([OTHER if chr(i).isalpha() else EDGE for i in range(_TOP + 1)], np.int64)
+    table = np.array([OTHER if chr(i).isalpha() else EDGE for i in range(_TOP + 1)], np.int32)
     table[_TOP] = EDGE
     table[97:123] = np.arange(1, 27)
     return table

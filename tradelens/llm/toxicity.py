@@ -30,13 +30,14 @@ MIN_SHARE = 0.8
 EVIDENCE = 7.0
 _BEGINNINGS = (3, 4, 5, 6)
 _SPACED = 4
-_TEXT_BYTES = 8 << 20
-_KEPT_WORDS = 200_000
+_TEXT_BYTES = 4 << 20
+_KEPT_WORDS = 80_000
+_FLUSH = 100_000
 
 
 def _four_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SIZE**4, np.int64)
-    for batch in slices(batches, 0, 2 << 20):
+    for batch in slices(batches, 0, 512 << 10):
         total += four_grams("\n".join(batch.column(0).to_pylist()))
     seen = np.flatnonzero(total)
     yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["gram", "n"])
@@ -145,7 +146,7 @@ def _count(shared, words: dict[str, float] | None) -> Callable:
             for i, toxic in enumerate(batch.column(1).to_pylist()):
                 here = np.unique(places[starts[i] : starts[i + 1]]).tolist()
                 counts[toxic].update(set().union(*[known[k] for k in here]))
-            if len(counts[0]) + len(counts[1]) > 300_000:
+            if len(counts[0]) + len(counts[1]) > _FLUSH:
                 yield flush()
                 for c in counts:
                     c.clear()
@@ -194,7 +195,7 @@ def train(
     chosen = F.broadcast(_sampled(usable, id, rows).withColumnRenamed(id, "_id"))  # about 2 * rows ids
     texts = docs.select(F.col(id).alias("_id"), text_or_empty(text).alias("text")).join(chosen, "_id")
     texts = map_arrow(texts.select("text", "toxic"), _families, "text string, toxic int, family long")
-    texts = written(texts.dropDuplicates(["family", "toxic"]).select("text", "toxic"), "labelled")
+    texts = written(texts.groupBy("family", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"), "labelled")
     sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(1):
         return Signs({}, {})
@@ -220,7 +221,8 @@ def _score(shared, signs_of, share: float) -> Callable:
             read: list[list[tuple[str, str]]] = [[] for _ in range(batch.num_rows)]
             hits = np.flatnonzero(p[places] > 0)
             text = np.searchsorted(starts, hits, side="right") - 1
-            for i, k in {(i, k) for i, k in zip(text.tolist(), places[hits].tolist())}:
+            held = set(zip(text.tolist(), places[hits].tolist()))
+            for i, k in sorted(held, key=lambda x: (x[0], words[x[1]])):  # one order in every partitioning
                 rest[i] *= 1 - p[k]
                 if disguised(words[k]):
                     read[i].append((words[k], " ".join(tokens(words[k], reader.model))))
@@ -231,7 +233,7 @@ def _score(shared, signs_of, share: float) -> Callable:
                     for n in range(_SPACED, min(longest, len(letters) - a) + 1)
                     if letters[a : a + n] in whole
                 }
-                for w in found:
+                for w in sorted(found):
                     rest[i] *= 1 - whole[w]
                     read[i].append((" ".join(w), w))
             pairs = pa.array([sorted(set(r)) for r in read], pa.list_(pa.struct([("written", pa.string()), ("read", pa.string())])))
