@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 
 WORD_BPE = "word_bpe_49k.json"
 _KEPT_WORDS = 500_000
+_ENCODED_AT_ONCE = 10_000
 # A word is cut into signs, a core and signs where the tokenizer always cuts: the core begins and ends
 # with a letter or digit that lower-cases to one, and the signs hold no apostrophe (contractions) and
 # are no part of a special token. Words of another form are one part.
@@ -66,7 +67,10 @@ class WordEncoder:
         if place.null_count:
             new = parts.filter(unknown)
             at[unknown.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+            ids = []
+            for start in range(0, len(new), _ENCODED_AT_ONCE):  # an encoding is far larger than its ids
+                some = new.slice(start, _ENCODED_AT_ONCE).to_pylist()
+                ids.extend(e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
             self.known = pa.concat_arrays([self.known, new])
