@@ -4,7 +4,9 @@ A written word is a character lattice: a letter stands for itself, a digit or
 sign for the letters it imitates, a run of one character for one or two of it,
 and signs or spaces between single letters for nothing. Viterbi decoding finds
 the lattice path that the corpus's character four-gram model likes best. A word
-without any such sign has one path only, itself, and is not decoded.
+without any such sign has one path only, itself, and is not decoded; nor is a
+number, unless it repeats a digit. A character written twice may well be meant,
+so such a word is also read with both.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ _SIGNS = re.escape("".join(LEET))
 EDGE = 0
 OTHER = 27
 SIZE = 28
-_SUSPECT = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|^[{_SIGNS}]+[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_SIGNS}]+$|([^\W_])\1\1")
+_SUSPECT = re.compile(rf"[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]|([^\W_])\1\1")
+_DOUBLED = re.compile(r"([^\W_])\1")
 _DOTTED = re.compile(rf"[\w{_SIGNS}](?:[.\-_*~/][\w{_SIGNS}]){{2,}}$")
 _TRIM = re.compile(r"^[\s.,;:?\"'()\[\]{}<>«»“”„¿¡-]+|[\s.,;:?!\"'()\[\]{}<>«»“”„-]+$")
 _TOKEN = re.compile(r"[^\W_]+")
@@ -88,10 +91,12 @@ class CharModel:
         self.log = np.log(p)
         self.decode = lru_cache(maxsize=50_000)(self._decode)
 
-    def _decode(self, word: str, separated: bool = False) -> str:
+    def _decode(self, word: str, separated: bool = False, twice: bool = False) -> str:
         paths = {(EDGE, EDGE, EDGE): (0.0, "")}
         for char, count in _runs(word):
             options = _options(char, count, separated)
+            if twice and count == 2:
+                options = [o for o in options if len(o[0]) == 2] or options
             best: dict[tuple, tuple] = {}
             for (a, b, c), (score, read) in paths.items():
                 for letters, cost in options:
@@ -106,6 +111,23 @@ class CharModel:
         return max((score + self.log[k[0], k[1], k[2], EDGE], read) for k, (score, read) in paths.items())[1]
 
 
+    def segment(self, letters: str) -> list[str]:
+        """The words that letters written without space between them are likeliest to be."""
+        paths = {(EDGE, EDGE, EDGE): (0.0, "")}
+        for letter in letters:
+            code, best = _code(letter), {}
+            for (a, b, c), (score, read) in paths.items():
+                steps = [((a, b, c), score, read + letter)]
+                if read:
+                    steps.append(((EDGE, EDGE, EDGE), score + self.log[a, b, c, EDGE], f"{read} {letter}"))
+                for (x, y, z), total, text in steps:
+                    total += self.log[x, y, z, code]
+                    if (y, z, code) not in best or best[y, z, code][0] < total:
+                        best[y, z, code] = (total, text)
+            paths = best
+        return max((score + self.log[k[0], k[1], k[2], EDGE], read) for k, (score, read) in paths.items())[1].split()
+
+
 def _code(letter: str) -> int:
     n = ord(letter) - 96
     return n if 1 <= n <= 26 else OTHER
@@ -141,8 +163,19 @@ def tokens(word: str, model: CharModel) -> list[str]:
     if _DOTTED.match(word):
         return [model.decode(word, True)]
     if _SUSPECT.search(word):
-        return [t for part in re.split(rf"[^\w{_SIGNS}]+", word) if part for t in [model.decode(part)] if t]
-    return _TOKEN.findall(word)
+        return [t for part in re.split(rf"[^\w{_SIGNS}]+", word) if part for t in _readings(part, model) if t]
+    return [t for part in _TOKEN.findall(word) for t in (_readings(part, model) if _DOUBLED.search(part) else [part])]
+
+
+def _readings(part: str, model: CharModel) -> list[str]:
+    read = model.decode(part)
+    if not _SUSPECT.search(part):
+        written = _TOKEN.findall(part)
+    elif any(count == 2 for _, count in _runs(part)):
+        written = [model.decode(part, False, True)]
+    else:
+        written = []
+    return written if read in written else [*written, read]
 
 
 def disguised(word: str) -> bool:
@@ -150,3 +183,14 @@ def disguised(word: str) -> bool:
     return bool(_DOTTED.match(word) or _SUSPECT.search(word))
 
 
+def readings(word: str, model: CharModel) -> list[str]:
+    """Those of ``tokens`` that the word does not hold as they are."""
+    written = _TOKEN.findall(_TRIM.sub("", word.lower()))
+    return [t for t in tokens(word, model) if t not in written]
+
+
+def single(word: str) -> str:
+    """The only character of a word but for punctuation around it, or nothing."""
+    if len(word) > 1:
+        word = _TRIM.sub("", word)
+    return word if len(word) == 1 else ""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, text_or_empty, written
-from .deobfuscate import SIZE, CharModel, disguised, four_grams, tokens
+from .deobfuscate import SIZE, CharModel, four_grams, readings, single, tokens
 
 THRESHOLD = 0.3
 #: Labelled rows of each class that are learned from; beyond, an even hash sample of about as many.
@@ -29,7 +29,9 @@ MIN_SHARE = 0.8
 #: Powers of ten by which a sign's counts must be unlikelier under chance.
 EVIDENCE = 7.0
 _BEGINNINGS = (3, 4, 5, 6)
-_SPACED = 4
+#: Single characters in a run that are read as one, and letters of words found anywhere in it; shorter words must stand apart.
+_SPACED = 3
+_WITHIN = 4
 _TEXT_BYTES = 4 << 20
 _KEPT_WORDS = 80_000
 _FLUSH = 100_000
@@ -95,18 +97,19 @@ class Reader:
             out.append(found)
         return out
 
-    def spaced(self, words: list[str], places: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, str]]:
-        """(text, restored letters) of runs of ``_SPACED`` and more single characters, none all of one kind."""
-        single = np.array([len(w) == 1 for w in words] + [False])[places] if len(words) else np.zeros(0, bool)
+    def spaced(self, words: list[str], places: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, set[str]]]:
+        """(text, restored letters, also with both of doubled ones) of runs of ``_SPACED`` and more single characters, none all of one kind."""
+        one = [single(w) for w in words]
+        lone = np.array([bool(c) for c in one] + [False])[places] if len(words) else np.zeros(0, bool)
         text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        change = np.flatnonzero(np.diff(single.astype(np.int8)) | np.diff(text)) + 1
+        change = np.flatnonzero(np.diff(lone.astype(np.int8)) | np.diff(text)) + 1
         begin = np.concatenate(([0], change))
-        end = np.concatenate((change, [len(single)]))
+        end = np.concatenate((change, [len(lone)]))
         for b, e in zip(begin.tolist(), end.tolist()):
-            if e - b >= _SPACED and single[b]:
-                letters = "".join(words[k] for k in places[b:e].tolist()).lower()
-                if len(set(letters)) > 2 and sum(map(str.isalpha, letters)) * 2 >= len(letters):
-                    yield int(text[b]), self.model.decode(letters, True)
+            if e - b >= _SPACED and lone[b]:
+                letters = "".join(one[k] for k in places[b:e].tolist()).lower()
+                if len(set(letters)) > 1 and any(map(str.isalpha, letters)):
+                    yield int(text[b]), {self.model.decode(letters, True), self.model.decode(letters, True, True)}
 
 
 def _family(text: str) -> int:
@@ -208,7 +211,8 @@ def train(
 def _score(shared, signs_of, share: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, signs = Reader(shared.value), signs_of.value
-        whole = {w: p for w, p in signs.words.items() if len(w) >= _SPACED}
+        whole = {w: p for w, p in signs.words.items() if len(w) >= _WITHIN}
+        short = {w: p for w, p in signs.words.items() if _SPACED <= len(w) < _WITHIN}
         longest = max(map(len, whole), default=0)
 
         def chance(word: str) -> float:
@@ -224,17 +228,20 @@ def _score(shared, signs_of, share: float) -> Callable:
             held = set(zip(text.tolist(), places[hits].tolist()))
             for i, k in sorted(held, key=lambda x: (x[0], words[x[1]])):  # one order in every partitioning
                 rest[i] *= 1 - p[k]
-                if disguised(words[k]):
-                    read[i].append((words[k], " ".join(tokens(words[k], reader.model))))
-            for i, letters in reader.spaced(words, places, starts):
+                read[i].extend((words[k], t) for t in readings(words[k], reader.model) if signs.chance(t) > 0)
+            for i, runs in reader.spaced(words, places, starts):
                 found = {
                     letters[a : a + n]
+                    for letters in runs
                     for a in range(len(letters))
-                    for n in range(_SPACED, min(longest, len(letters) - a) + 1)
+                    for n in range(_WITHIN, min(longest, len(letters) - a) + 1)
                     if letters[a : a + n] in whole
                 }
+                for letters in runs:
+                    if any(w in letters for w in short):
+                        found.update(w for w in reader.model.segment(letters) if w in short)
                 for w in sorted(found):
-                    rest[i] *= 1 - whole[w]
+                    rest[i] *= 1 - signs.words[w]
                     read[i].append((" ".join(w), w))
             pairs = pa.array([sorted(set(r)) for r in read], pa.list_(pa.struct([("written", pa.string()), ("read", pa.string())])))
             yield pa.record_batch([*batch.columns[2:], pa.array(1 - rest), pairs], names=[*batch.schema.names[2:], "score", "restored"])
