@@ -3,9 +3,13 @@
 import random
 
 import pytest
-from llm_helpers import edge_docs
+from llm_helpers import documents, edge_docs
+from pyspark.sql import functions as F
 from test_others import BAD, GOOD, toxic_rows
+from test_spans import brute_pii, check
 
+import corpus_pipeline
+from tradelens.llm import pii
 from tradelens.llm.deobfuscate import CharModel, four_grams, tokens
 from tradelens.llm.toxicity import THRESHOLD, toxicity
 
@@ -47,3 +51,37 @@ def test_spaced_words_of_three_letters(spark):
     asked = [(900, "the p i g.", "s"), (901, "the p 1 g of", "s"), (902, "t h a t p i g", "s"), (903, "t h a t", "s")]
     got = {r["doc_id"]: r["score"] for r in toxicity(docs.unionByName(edge_docs(spark, asked)), labels).collect()}
     assert [got[i] >= THRESHOLD for i in (900, 901, 902, 903)] == [True, True, True, False]
+
+
+# ---- op5_pii: gates that let too little through
+
+ALONE = [
+    "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1",
+    "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1",
+    "+1 2 3 4 5 6 7 8 9 0",
+    "+1(2)3(4)5(6)7(8)9",
+    "+1-2-3-4-5-6-7-8-9",
+    "+1.2.3.4.5.6.7.8.9",
+    "1.2.3.4",
+    "a@b.c",
+]
+
+
+def test_single_matches_pass_their_gates(spark):
+    rng = random.Random(5)
+    digits = ["".join(d + rng.choice(" -") for d in "4111111111111111")[:-1] for _ in range(20)]
+    phones = ["+1" + "".join(rng.choice(" ().-") + d for d in "234567890") for _ in range(20)]
+    texts = ALONE + digits + phones + [f"x {t} y" for t in ALONE]
+    assert all(map(brute_pii, texts))
+    check(pii, "pii", pii.find_pii(documents(spark, texts)), brute_pii, pii.KINDS)
+
+
+def test_single_proposals_pass_their_gates(spark):
+    texts = ["jane at mail dot com", "x(at)y(dot)z", "a [AT] b {DOT} c", "411111111111", "(555) 123-4567", "555.123.4567"]
+    docs = documents(spark, texts).select("doc_id", pii._all_spans(F.col("text")).alias("s"))
+    assert all(len(r["s"]) == 1 for r in docs.collect())
+
+
+def test_single_digits_are_masked(spark):
+    masked = corpus_pipeline.mask_pii(spark, documents(spark, ALONE), "").collect()
+    assert all("[" in r["text"] and not brute_pii(r["text"]) for r in masked)
