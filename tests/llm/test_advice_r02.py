@@ -7,10 +7,12 @@ from llm_helpers import documents, edge_docs
 from pyspark.sql import functions as F
 from test_others import BAD, GOOD, toxic_rows
 from test_spans import brute_pii, check
+from test_tokens import check_packed, library
 
 import corpus_pipeline
 from tradelens.llm import pii
 from tradelens.llm.deobfuscate import CharModel, four_grams, tokens
+from tradelens.llm.packing import MAX_QUEUES, pack
 from tradelens.llm.toxicity import THRESHOLD, toxicity
 
 # ---- op6_toxicity: disguises that did not reach the decoder
@@ -85,3 +87,35 @@ def test_single_proposals_pass_their_gates(spark):
 def test_single_digits_are_masked(spark):
     masked = corpus_pipeline.mask_pii(spark, documents(spark, ALONE), "").collect()
     assert all("[" in r["text"] and not brute_pii(r["text"]) for r in masked)
+
+
+# ---- op10_packing: targets of many sources
+
+
+@pytest.mark.parametrize("unnamed", [298, 250])
+def test_every_target_counts_among_many_sources(spark, unnamed):
+    rng = random.Random(8)
+    targets = {"big": 0.3, "other": 0.2, None: 0.1, **{f"t{k}": 0.001 for k in range(8)}}
+    sources = ["big"] * 60 + ["other"] * 60 + [None] * 60 + [s for s in targets if s and s[0] == "t"] + [f"s{k}" for k in range(unnamed)]
+    rows = [(i, " ".join(rng.choices("abcde", k=400 if i < 180 else 60)), s) for i, s in enumerate(sources)]
+    got = pack(edge_docs(spark, rows), targets=targets, window=4 * 2048, grain=1).collect()
+    check_packed(got, [(r[0], x + [1]) for r, x in zip(rows, library("word_bpe_49k.json", [r[1] for r in rows]))])
+    source = {r[0]: r[2] for r in rows}
+    queues = {}
+    for g in got:
+        queues.setdefault(g["queue"], set()).add(source[g["doc_id"]])
+    assert all(len(q) == 1 for q in queues.values() if q & set(targets))
+    assert len(queues) <= MAX_QUEUES + len(targets)
+    total = sum(g["length"] for g in got)
+    rest = sum(g["length"] for g in got if source[g["doc_id"]] not in targets) / total
+    whole = sum(targets.values()) + rest
+    first = [g for g in got if g["sequence_id"] < 8]
+    for s, want in (("big", 0.3), ("other", 0.2), (None, 0.1)):
+        share = sum(g["length"] for g in first if source[g["doc_id"]] == s) / (8 * 2048)
+        assert abs(share - want / whole) < 0.06
+
+
+def test_sources_without_targets_share_queues(spark):
+    rows = [(i, "a b c d e", f"s{i}") for i in range(300)]
+    got = pack(edge_docs(spark, rows)).collect()
+    assert len({g["queue"] for g in got}) <= MAX_QUEUES and sum(g["length"] for g in got) == 300 * 6

@@ -37,6 +37,7 @@ GRAIN = 1024
 END_ID = 1
 MAX_QUEUES = 256
 _TEXT_BYTES = 12 << 20
+_KEPT_COUNTS = 4096 * MAX_QUEUES
 #: How ids are kept between the passes: the tokenizer has fewer than 65,536.
 _STORED = np.dtype("<u2")
 
@@ -62,7 +63,7 @@ class Rounds:
         self.rates = [(q.numerator, q.denominator * grain) for q in quanta]
         self.total = sum(tokens)
         self.full = self.total // sequence
-        self.after = lru_cache(maxsize=4096)(self._after)
+        self.after = lru_cache(maxsize=max(16, min(4096, _KEPT_COUNTS // max(1, len(tokens)))))(self._after)
 
     def _after(self, rounds: int) -> tuple[list[int], int]:
         given = [min(t, self.grain * (rounds * n // d)) for t, (n, d) in zip(self.tokens, self.rates)]
@@ -149,8 +150,9 @@ def pack(
     are shorter, each a power of two. A document is its ids and ``end_id``; null
     and empty texts are the end id alone. ``targets`` gives weights by source
     (default, and for sources it leaves out: the source's own share of all
-    tokens); a null source is a queue of its own. Beyond ``MAX_QUEUES`` sources,
-    sources share queues by hash. A queue that runs out leaves its part of later
+    tokens); a null source is a queue of its own, and so is every source with a
+    target. Beyond ``MAX_QUEUES`` sources without one, these share queues by hash,
+    with the sum of their shares. A queue that runs out leaves its part of later
     rounds to the others. Repeated ids and rows are separate documents. An empty
     table gives an empty result. ``ids`` are little-endian unsigned 32-bit ids.
     """
@@ -162,12 +164,13 @@ def pack(
     tokens = written(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     sources = tokens.groupBy("source").agg(F.sum("n").alias("n"))
-    if sources.count() > MAX_QUEUES:
-        name = F.concat(F.lit("queue "), F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string"))
-    else:
-        name = F.coalesce(F.concat(F.lit("source "), "source"), F.lit("no source"))
+    name = F.coalesce(F.concat(F.lit("source "), "source"), F.lit("no source"))
+    named = F.coalesce(F.col("source").isin([s for s in targets or {} if isinstance(s, str)]), F.lit(None in (targets or {})))
+    if sources.where(~named).count() > MAX_QUEUES:
+        shared = F.concat(F.lit("queue "), F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string"))
+        name = F.when(named, name).otherwise(shared)
     totals = sources.groupBy(name.alias("name")).agg(F.sum("n").alias("n"), F.max("source").alias("source"))
-    totals = sorted((r["name"], r["n"], r["source"]) for r in totals.collect())  # at most MAX_QUEUES rows
+    totals = sorted((r["name"], r["n"], r["source"]) for r in totals.collect())  # at most MAX_QUEUES rows and one for each target
     sizes = [n for _, n, _ in totals]
     every = sum(sizes)
     wanted = [Fraction((targets or {}).get(s, n / every)) if targets else Fraction(n, every) for _, n, s in totals]
@@ -177,7 +180,8 @@ def pack(
         raise ValueError("targets must be above 0: every document is packed")
 
     # Places in the queues: running sums within buckets of bounded size, then over the buckets.
-    queue = F.coalesce(*[F.when(name == n, F.lit(i)) for i, (n, _, _) in enumerate(totals)], F.lit(0))
+    names = F.array(*[F.lit(n) for n, _, _ in totals]).cast("array<string>")
+    queue = (F.array_position(names, name) - 1).cast("int")
     buckets = math.isqrt(tokens.count()) + 1
     placed = tokens.select("row", "n", queue.alias("queue"), F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
     before = Window.partitionBy("queue", "bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
