@@ -1,0 +1,120 @@
+"""Spelling variants against deletion neighbourhoods and plain counting."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from llm_helpers import EDGE_ROWS, documents, edge_docs
+from pyspark.sql import functions as F
+
+from tradelens.llm import variants
+
+
+def brute_words(rows, every=199):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if every and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def brute_variants(words):
+    near, less = defaultdict(set), defaultdict(list)
+    for w in words:
+        for i in range(len(w)):
+            less[i, len(w), w[:i] + w[i + 1 :]].append(w)
+    for (_, _, rest), same in less.items():
+        for w in same:
+            near[w].update(x for x in same if x != w)
+            if rest in words:
+                near[w].add(rest)
+                near[rest].add(w)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best and words[best] >= 5 * n:
+            form[w] = best
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), words[form[w]] if w in form else None))
+    return sorted(out, key=str)
+
+
+def same(df, words):
+    assert sorted(map(tuple, df.collect()), key=str) == brute_variants(words)
+
+
+@pytest.mark.parametrize("hot", [1, 5, 2_000])
+def test_groups_of_random_words(spark, hot):
+    """Few letters, so that many words share a chunk and many are near."""
+    rng = random.Random(hot)
+    words = {"".join(rng.choices("abé", k=rng.randint(6, 9))): rng.choice([5, 6, 30, 150, 800]) for _ in range(400)}
+    words |= {"common" + "".join(rng.choices("xyz", k=rng.randint(0, 5))): rng.choice([5, 25, 125]) for _ in range(150)}
+    words |= {"q" * 300: 7, "q" * 299: 40, "q" * 150 + "r" + "q" * 149: 5, "a" * 6: 10_000, "a" * 7: 2_000, "a" * 8: 400}
+    df = spark.createDataFrame(sorted(words.items()), "word string, n long").repartition(4)
+    same(variants.group_variants(df, hot=hot), words)
+
+
+def test_hot_chunks_are_cut_again(spark, monkeypatch):
+    """No key that a chunk of more than two letters is left of meets more than ``hot`` grams."""
+    words = spark.range(600).select(F.concat(F.lit("prefixes"), F.lpad(F.conv("id", 10, 5), 6, "0")).alias("word"))
+    words = words.withColumn("word", F.translate("word", "01234", "klmno"))
+    seen = []
+    verified = variants._verified
+    monkeypatch.setattr(variants, "_verified", lambda c, g: seen.append((c, g)) or verified(c, g))
+    got = variants.near_pairs(words, hot=20).count()
+    assert got > 0
+    assert len(seen) > 1
+    for chunks, grams in seen[:-1]:
+        sizes = grams.groupBy("key").count().where("count > 20")
+        assert chunks.join(sizes, "key").where(F.char_length("rest") > 1).count() == 0
+
+
+def test_roots_over_many_forms(spark):
+    """A chain of ten forms, each five times as frequent."""
+    words = {"abcdef" + "x" * k: 5 ** (11 - k) for k in range(11)}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    same(variants.group_variants(df), words)
+    assert {r.root for r in variants.group_variants(df).collect()} == {"abcdef"}
+
+
+def test_ties_take_the_smallest_form(spark):
+    words = {"abcdefg": 5, "abcdefé": 100, "abcdefz": 100, "abcdefh": 25, "abcdef": 99}
+    same(variants.group_variants(spark.createDataFrame(list(words.items()), "word string, n long")), words)
+
+
+def test_texts(spark):
+    rng = random.Random(9)
+    pool = ["Straße", "straÿen", "ÉTUDIANT", "étudiants", "running", "runing", "Runnings", "a", "x" * 90, "x" * 91, "naïveté", "don't", "×÷×÷×÷"]
+    rows = [(i, rng.choice(" \n,.1日€-").join(rng.choices(pool, k=rng.randint(0, 60)))) for i in range(300)]
+    docs = documents(spark, [t for _, t in rows])
+    same(variants.spelling_variants(docs), brute_words(rows))
+    same(variants.spelling_variants(docs, misspelt=3), brute_words(rows, 3))
+    same(variants.spelling_variants(docs, misspelt=None), brute_words(rows, None))
+
+
+def test_edges(spark):
+    rows = EDGE_ROWS * 5 + [(2**62, "longwords " * 3, "a"), (-5, "longwords " * 3, "a")]
+    same(variants.spelling_variants(edge_docs(spark, rows)), brute_words([r[:2] for r in rows]))
+    assert variants.spelling_variants(edge_docs(spark).where("false")).count() == 0
+
+
+def test_checksums_are_carried_on():
+    rng = random.Random(5)
+    names = [f"{rng.randrange(10**9)}:".encode() for _ in range(20)] + [b":"]
+    words = ["".join(rng.choices("abcé", k=rng.randint(0, 90))).encode() for _ in range(50)]
+    places = [(rng.randrange(len(names)), rng.randrange(len(words))) for _ in range(400)]
+    import numpy as np
+
+    text_of, word_at = (np.array(x) for x in zip(*places))
+    want = [zlib.crc32(names[t] + words[w]) for t, w in places]
+    assert variants.checksums(names, words, text_of, word_at).tolist() == want
