@@ -25,9 +25,9 @@ from .wordids import gather
 
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 #: Merged words that a worker keeps, and the bytes of the longest that it does.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 250_000
 KEPT_BYTES = 64
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 _LONG = 256
 _NEVER = 1 << 60
 
