@@ -18,13 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, text_or_empty, written
-from .deobfuscate import SIZE, CharModel, four_grams, readings, single, tokens
+from .deobfuscate import SIZE, CharModel, Readable, four_grams, readings, single, tokens
 
 THRESHOLD = 0.3
 #: Labelled rows of each class that are learned from; beyond, an even hash sample of about as many.
 TRAIN_ROWS = 30_000
-#: Signs kept in the model, those in most toxic texts first.
-MODEL_SIGNS = 50_000
 MIN_SHARE = 0.8
 #: Powers of ten by which a sign's counts must be unlikelier under chance.
 EVIDENCE = 7.0
@@ -34,6 +32,7 @@ _SPACED = 3
 _WITHIN = 4
 _TEXT_BYTES = 4 << 20
 _KEPT_WORDS = 80_000
+_KEPT_LETTERS = 64
 _FLUSH = 100_000
 
 
@@ -93,7 +92,9 @@ class Reader:
         for w in words:
             found = known.get(w, known)
             if found is known:
-                found = known[w] = make(w)
+                found = make(w)
+                if len(w) <= _KEPT_LETTERS:
+                    known[w] = found
             out.append(found)
         return out
 
@@ -109,7 +110,7 @@ class Reader:
             if e - b >= _SPACED and lone[b]:
                 letters = "".join(one[k] for k in places[b:e].tolist()).lower()
                 if len(set(letters)) > 1 and any(map(str.isalpha, letters)):
-                    yield int(text[b]), {self.model.decode(letters, True), self.model.decode(letters, True, True)}
+                    yield int(text[b]), {self.model.decode(letters), self.model.decode(letters, True)}
 
 
 def _family(text: str) -> int:
@@ -174,8 +175,8 @@ def _strong(counts: DataFrame, toxic_texts: int, clean_texts: int) -> dict[str,
     evidence = t * F.log10(share / base) + F.when(c > 0, c * F.log10((1 - share) / (1 - base))).otherwise(0.0)
     counts = counts.groupBy("sign").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     found = counts.where((share >= MIN_SHARE) & (evidence >= EVIDENCE))
-    top = found.orderBy(t.desc(), "sign").limit(MODEL_SIGNS)
-    return {r["sign"]: r["toxic"] / (r["toxic"] + r["clean"] + 1) for r in top.collect()}
+    # The evidence takes several toxic texts a sign, so there are fewer signs than words in the sample's toxic texts.
+    return {r["sign"]: r["toxic"] / (r["toxic"] + r["clean"] + 1) for r in found.collect()}
 
 
 def train(
@@ -214,9 +215,11 @@ def _score(shared, signs_of, share: float) -> Callable:
         whole = {w: p for w, p in signs.words.items() if len(w) >= _WITHIN}
         short = {w: p for w, p in signs.words.items() if _SPACED <= len(w) < _WITHIN}
         longest = max(map(len, whole), default=0)
+        # A reading that is no sign tells nothing, so words without one on any path are not decoded.
+        may = Readable(signs.words, signs.beginnings)
 
         def chance(word: str) -> float:
-            return max(map(signs.chance, tokens(word, reader.model)), default=0.0)
+            return max(map(signs.chance, tokens(word, reader.model, may)), default=0.0)
 
         for batch in slices(batches, 1, _TEXT_BYTES):
             words, places, starts = reader.split(batch.column(1))
