@@ -3,8 +3,9 @@
 Vectors are packed into blocks with an eight-bit code of each: the vector is
 its scale times whole numbers in [-127, 127] plus a rest whose length is known.
 A tile is a block of queries against a block of candidates. The product of the
-codes is exact (whole numbers below 2 ** 24 in single precision), and with the
-lengths of the rests it bounds every distance from both sides. Pairs whose lower
+codes is exact: it is summed over slices of ``_SLICE`` components, whose products
+are whole numbers below 2 ** 24 in single precision. With the lengths of the
+rests it bounds every distance from both sides. Pairs whose lower
 bound exceeds the query's k-th smallest upper bound cannot be among its nearest;
 the others are computed anew in double precision from the original vectors and
 merged by heaps, per tile and then per query. The result is exact.
@@ -26,6 +27,7 @@ K = 10
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 1024
 _CHUNK = 64
+_SLICE = 1024
 _BLOCK = "ids array<bigint>, rows array<bigint>, vectors binary, dim int"
 
 
@@ -64,6 +66,14 @@ def codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, scale, rest * (1 + 1e-9) + np.abs(x).max(axis=1) * 1e-12
 
 
+def _product(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Exact products of eight-bit codes: (rows, components) by (components, columns), both in single precision."""
+    out = (q[:, :_SLICE] @ c[:_SLICE]).astype(np.float64)
+    for at in range(_SLICE, q.shape[1], _SLICE):
+        out += q[:, at : at + _SLICE] @ c[at : at + _SLICE]
+    return out
+
+
 def nearest_in_tile(
     q: np.ndarray, q_rows: np.ndarray, c: np.ndarray, c_rows: np.ndarray, c_ids: np.ndarray, k: int
 ) -> Iterator[tuple[int, list[tuple[float, int, int]]]]:
@@ -74,7 +84,7 @@ def nearest_in_tile(
     q2 = (qq.astype(np.float64) ** 2).sum(axis=1) * qs**2
     for at in range(0, len(q), _CHUNK):
         part = slice(at, at + _CHUNK)
-        product = qq[part].astype(np.float32) @ ccf
+        product = _product(qq[part].astype(np.float32), ccf)
         square = q2[part, None] + c2 - 2 * qs[part, None] * cs * product
         # The square is right to rounding; a slack of that size keeps the bounds safe.
         slack = 1e-6 * np.sqrt(q2[part, None] + c2)
@@ -146,14 +156,17 @@ def nearest(
     parts = max(1, -(-asked.count() // query_rows))
     asked = map_arrow(asked.repartition(parts, F.xxhash64("row")), _pack(query_rows), _BLOCK)
     asked = written(asked, "queries")
-    # Every query block meets every candidate block of its dimension; both are numbered, so that the
-    # pairing is a join on two keys with each block sent where it is needed.
-    right = candidates.select(
-        F.monotonically_increasing_id().alias("block"), F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), F.col("vectors").alias("c_vectors"), "dim"
+    # Every query block meets every candidate block of its dimension. Candidate blocks are numbered
+    # within theirs, so that the join is on a block, not on the dimension that all may share.
+    right = written(candidates.withColumn("key", F.monotonically_increasing_id()), "blocks")
+    number = F.row_number().over(Window.partitionBy("dim").orderBy("key")).alias("number")  # of keys, one for 8,192 rows
+    numbered = written(right.select("key", "dim", number), "block-numbers")
+    counts = numbered.groupBy("dim").agg(F.max("number").alias("blocks"))  # a row for each length of vectors
+    right = right.join(numbered, ["key", "dim"]).select(
+        "dim", "number", F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), F.col("vectors").alias("c_vectors")
     )
-    right = written(right, "blocks")
-    left = asked.join(right.select("dim", "block"), "dim")
-    work = left.join(right, ["dim", "block"]).select("ids", "rows", "vectors", "dim", "c_ids", "c_rows", "c_vectors")
+    left = asked.join(F.broadcast(counts), "dim").withColumn("number", F.explode(F.sequence(F.lit(1), "blocks")))
+    work = left.join(right, ["dim", "number"]).select("ids", "rows", "vectors", "dim", "c_ids", "c_rows", "c_vectors")
     found = map_arrow(work, _tiles(k), "row long, query_id long, score double, vec_id long, vec_row long")
     order = Window.partitionBy("row").orderBy("score", "vec_id", "vec_row")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
