@@ -32,6 +32,8 @@ from .wordids import gather
 
 BYTE_BPE = "byte_bpe_50k.json"
 LEXICON_WORDS = 65_536
+LEXICON_BYTES = 64
+_STEPS = 256  # in which a count grows by the factor e
 _NEVER = 1 << 40
 _LONG = 48
 _BLOCK = 1 << 15
@@ -314,16 +316,21 @@ def word_counts(docs: DataFrame, text: str = "text", tokenizer: str | None = Non
 def build_lexicon(counts: DataFrame, words: int = LEXICON_WORDS, tokenizer: str | None = None) -> bytes:
     """The lexicon file of the most frequent words: all that occur so often that at most ``words`` do.
 
-    The bound is on the model, not on the corpus: other words are merged exactly.
+    Words are taken by steps of their counts' logarithm, each step whole or not at
+    all, and only up to ``LEXICON_BYTES`` bytes. Both bounds are on the model, not
+    on the corpus: other words are merged exactly.
     """
-    steps = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("c"))
-    least, room = 100_001, words
-    for n, c in sorted(((r["n"], r["c"]) for r in steps.collect()), reverse=True):
+    step = F.floor(F.log1p(F.col("n").cast("double")) * _STEPS)
+    counts = counts.where(F.octet_length("word") <= LEXICON_BYTES).withColumn("step", step)
+    sizes = counts.groupBy("step").agg(F.count(F.lit(1)).alias("c")).collect()  # at most 44 * _STEPS rows
+    least, room = None, words
+    for at, c in sorted(((r["step"], r["c"]) for r in sizes), reverse=True):
         if c > room:
             break
-        least, room = n, room - c
+        least, room = at, room - c
     bpe = byte_bpe(tokenizer)
-    found = sorted(r["word"].encode() for r in counts.where(F.col("n") >= least).select("word").collect())
+    taken = counts.where(F.col("step") >= least).select("word").collect() if least is not None else []
+    found = sorted(r["word"].encode() for r in taken)
     found = [w for w in found if w and w.decode() not in bpe.special]
     return compile_lexicon(found, [bpe.merge(w) for w in found])
 
