@@ -8,7 +8,7 @@ documents may be cut, what a queue has given after r rounds has a closed form,
 
     given(q, r) = min(tokens(q), grain * floor(r * quantum(q) / grain)),
 
-in exact integers. So every document can be placed by itself: its place in its
+in exact integers (a quantum is a whole number of parts of a grain). So every document can be placed by itself: its place in its
 queue tells the round, and the sum of what all queues gave before is its place
 in the packed stream. Deficits are carried across rounds and partitions with no
 sequential pass. The stream is cut every ``sequence`` tokens; what is left over
@@ -35,20 +35,24 @@ SEQUENCE = 2048
 WINDOW = 64 * SEQUENCE
 GRAIN = 1024
 END_ID = 1
-MAX_QUEUES = 256
+#: Quanta are counted in so many parts of a grain; a queue's is one part at least.
+PARTS = 1 << 20
 _TEXT_BYTES = 12 << 20
-_KEPT_COUNTS = 4096 * MAX_QUEUES
-#: How ids are kept between the passes: the tokenizer has fewer than 65,536.
-_STORED = np.dtype("<u2")
+_KEPT_COUNTS = 1 << 20
 
 
-def _tokenise(path: str | None, end_id: int) -> Callable:
+def _stored(path: str | None, end_id: int) -> np.dtype:
+    """How ids are kept between the passes: in two bytes where the vocabulary allows it."""
+    return np.dtype("<u2" if max(word_encoder(path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+
+
+def _tokenise(path: str | None, end_id: int, stored: np.dtype) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         for batch in slices(batches, 2, _TEXT_BYTES):
             ids, ends = encoder.encode(batch.column(2), end_id)
-            offsets = pa.py_buffer(np.concatenate(([0], ends * _STORED.itemsize)).astype(np.int32))
-            data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids.astype(_STORED))])
+            offsets = pa.py_buffer(np.concatenate(([0], ends * stored.itemsize)).astype(np.int32))
+            data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(ids.astype(stored))])
             sizes = np.diff(ends, prepend=0).astype(np.int64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes), data], names=["id", "source", "n", "ids"])
 
@@ -58,27 +62,27 @@ def _tokenise(path: str | None, end_id: int) -> Callable:
 class Rounds:
     """Where each queue's tokens lie in the packed stream."""
 
-    def __init__(self, tokens: list[int], quanta: list[Fraction], grain: int, sequence: int):
-        self.tokens, self.grain, self.sequence = tokens, grain, sequence
-        self.rates = [(q.numerator, q.denominator * grain) for q in quanta]
-        self.total = sum(tokens)
+    def __init__(self, tokens: np.ndarray, quanta: np.ndarray, grain: int, sequence: int):
+        """``quanta``: in parts of a grain."""
+        self.tokens, self.quanta, self.grain, self.sequence = tokens, quanta, grain, sequence
+        self.total = int(tokens.sum())
         self.full = self.total // sequence
         self.after = lru_cache(maxsize=max(16, min(4096, _KEPT_COUNTS // max(1, len(tokens)))))(self._after)
 
-    def _after(self, rounds: int) -> tuple[list[int], int]:
-        given = [min(t, self.grain * (rounds * n // d)) for t, (n, d) in zip(self.tokens, self.rates)]
-        return given, sum(given)
+    def _after(self, rounds: int) -> tuple[np.ndarray, int]:
+        given = np.minimum(self.tokens, rounds * self.quanta // PARTS * self.grain)
+        return given, int(given.sum())
 
     def spans(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int]]:
         """(place in the queue, length, place in the stream) of the runs of ``length`` tokens from ``start``."""
-        n, d = self.rates[queue]
+        quantum = int(self.quanta[queue])
         at, end = start, start + length
         while at < end:
             grains = at // self.grain + 1
-            turn = -(-grains * d // n) - 1  # the first round after which the queue has given more than ``at``
+            turn = -(-grains * PARTS // quantum) - 1  # the first round after which the queue has given more than ``at``
             (before, done), (after, _) = self.after(turn), self.after(turn + 1)
-            upto = min(end, after[queue])
-            place = done + sum(after[:queue]) - sum(before[:queue]) + at - before[queue]
+            upto = min(end, int(after[queue]))
+            place = done + int(after[:queue].sum() - before[:queue].sum()) + at - int(before[queue])
             yield at, upto - at, place
             at = upto
 
@@ -104,14 +108,14 @@ class Rounds:
 PIECES = "length long, start long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int"
 
 
-def _cut(tokens: list[int], quanta: list[Fraction], grain: int, sequence: int, with_ids: bool) -> Callable:
+def _cut(shared, stored: np.dtype, grain: int, sequence: int, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rounds = Rounds(tokens, quanta, grain, sequence)
+        rounds = Rounds(*shared.value, grain, sequence)
         for batch in slices(batches, 2, _TEXT_BYTES):
             rows, out, ids = [], [], []
             queues, places = batch.column(1).to_pylist(), batch.column(3).to_pylist()
             for i, data in enumerate(batch.column(2)):
-                raw = np.frombuffer(data.as_buffer(), _STORED).astype("<u4")
+                raw = np.frombuffer(data.as_buffer(), stored).astype("<u4")
                 size, first = len(raw), places[i]
                 view = memoryview(raw.tobytes())
                 for at, length, number, offset in rounds.pieces(queues[i], first, size):
@@ -150,48 +154,45 @@ def pack(
     are shorter, each a power of two. A document is its ids and ``end_id``; null
     and empty texts are the end id alone. ``targets`` gives weights by source
     (default, and for sources it leaves out: the source's own share of all
-    tokens); a null source is a queue of its own, and so is every source with a
-    target. Beyond ``MAX_QUEUES`` sources without one, these share queues by hash,
-    with the sum of their shares. A queue that runs out leaves its part of later
-    rounds to the others. Repeated ids and rows are separate documents. An empty
+    tokens). Every source is a queue of its own, a null one too, whatever their
+    number; the driver holds a row for each. A queue that runs out leaves its part
+    of later rounds to the others. Repeated ids and rows are separate documents. An empty
     table gives an empty result. ``ids`` are little-endian unsigned 32-bit ids.
     """
     kind = docs.schema[id].dataType.simpleString()
     tokens = docs.select(
         F.col(id).alias("id"), F.col(source).cast("string").alias("source"), text_or_empty(text).alias("text")
     )
-    tokens = map_arrow(tokens, _tokenise(tokenizer, end_id), f"id {kind}, source string, n long, ids binary")
+    stored = _stored(tokenizer, end_id)
+    tokens = map_arrow(tokens, _tokenise(tokenizer, end_id, stored), f"id {kind}, source string, n long, ids binary")
     tokens = written(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
-    sources = tokens.groupBy("source").agg(F.sum("n").alias("n"))
-    name = F.coalesce(F.concat(F.lit("source "), "source"), F.lit("no source"))
-    named = F.coalesce(F.col("source").isin([s for s in targets or {} if isinstance(s, str)]), F.lit(None in (targets or {})))
-    if sources.where(~named).count() > MAX_QUEUES:
-        shared = F.concat(F.lit("queue "), F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string"))
-        name = F.when(named, name).otherwise(shared)
-    totals = sources.groupBy(name.alias("name")).agg(F.sum("n").alias("n"), F.max("source").alias("source"))
-    totals = sorted((r["name"], r["n"], r["source"]) for r in totals.collect())  # at most MAX_QUEUES rows and one for each target
-    sizes = [n for _, n, _ in totals]
-    every = sum(sizes)
-    wanted = [Fraction((targets or {}).get(s, n / every)) if targets else Fraction(n, every) for _, n, s in totals]
-    whole = sum(wanted)
-    quanta = [window * w / whole for w in wanted]
-    if any(q <= 0 for q in quanta):
+    totals = tokens.groupBy("source").agg(F.sum("n").alias("n")).collect()  # a row for each source
+    totals = sorted((r["source"] is not None, r["source"] or "", r["n"]) for r in totals)
+    names = [s if some else None for some, s, _ in totals]
+    sizes = np.array([n for *_, n in totals], np.int64)
+    every = int(sizes.sum())
+    wanted = [Fraction((targets or {}).get(s, n / every)) if targets else Fraction(n, every) for s, n in zip(names, sizes.tolist())]
+    if any(w <= 0 for w in wanted):
         raise ValueError("targets must be above 0: every document is packed")
+    whole = sum(wanted)
+    quanta = np.array([max(1, round(PARTS * window * w / (whole * grain))) for w in wanted], np.int64)
 
     # Places in the queues: running sums within buckets of bounded size, then over the buckets.
-    names = F.array(*[F.lit(n) for n, _, _ in totals]).cast("array<string>")
-    queue = (F.array_position(names, name) - 1).cast("int")
+    spark = docs.sparkSession
+    numbered = spark.createDataFrame(list(enumerate(names)), "queue int, _source string")
+    tokens = tokens.join(F.broadcast(numbered), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     buckets = math.isqrt(tokens.count()) + 1
-    placed = tokens.select("row", "n", queue.alias("queue"), F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
+    placed = tokens.select("row", "n", "queue", F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
     before = Window.partitionBy("queue", "bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("inner", F.coalesce(F.sum("n").over(before), F.lit(0)))
     earlier = Window.partitionBy("queue").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = tokens.select("n", queue.alias("queue"), F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
+    bases = tokens.select("n", "queue", F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket"))
     bases = bases.groupBy("queue", "bucket").agg(F.sum("n").alias("n"))
     bases = bases.select("queue", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     placed = placed.join(bases, ["queue", "bucket"]).select("row", "queue", (F.col("base") + F.col("inner")).alias("place"))
 
     schema = f"id {kind}, {PIECES}" + (", ids binary" if with_ids else "")
-    work = tokens.join(placed, "row").select("id", "queue", "ids", "place")
-    return map_arrow(work, _cut(sizes, quanta, grain, sequence, with_ids), schema).withColumnRenamed("id", id)
+    work = tokens.drop("queue").join(placed, "row").select("id", "queue", "ids", "place")
+    shared = spark.sparkContext.broadcast((sizes, quanta))
+    return map_arrow(work, _cut(shared, stored, grain, sequence, with_ids), schema).withColumnRenamed("id", id)

@@ -10,6 +10,7 @@ and is left to the tokenizer.
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 from itertools import chain
@@ -48,6 +49,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        if "Lowercase" not in normal or spec["model"].get("end_of_word_suffix") != "</w>":
+            raise ValueError(f"{path} is no lower-casing BPE with word ends; words cannot be encoded one by one")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self._forget()
