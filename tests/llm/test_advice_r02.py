@@ -12,7 +12,7 @@ from test_tokens import check_packed, library
 import corpus_pipeline
 from tradelens.llm import pii
 from tradelens.llm.deobfuscate import CharModel, four_grams, tokens
-from tradelens.llm.packing import MAX_QUEUES, pack
+from tradelens.llm.packing import pack
 from tradelens.llm.toxicity import THRESHOLD, toxicity
 
 # ---- op6_toxicity: disguises that did not reach the decoder
@@ -104,8 +104,7 @@ def test_every_target_counts_among_many_sources(spark, unnamed):
     queues = {}
     for g in got:
         queues.setdefault(g["queue"], set()).add(source[g["doc_id"]])
-    assert all(len(q) == 1 for q in queues.values() if q & set(targets))
-    assert len(queues) <= MAX_QUEUES + len(targets)
+    assert all(len(q) == 1 for q in queues.values()) and len(queues) == len(set(sources))
     total = sum(g["length"] for g in got)
     rest = sum(g["length"] for g in got if source[g["doc_id"]] not in targets) / total
     whole = sum(targets.values()) + rest
@@ -115,7 +114,9 @@ def test_every_target_counts_among_many_sources(spark, unnamed):
         assert abs(share - want / whole) < 0.06
 
 
-def test_sources_without_targets_share_queues(spark):
-    rows = [(i, "a b c d e", f"s{i}") for i in range(300)]
+@pytest.mark.parametrize("sources", [300, 10_000])
+def test_every_source_keeps_its_queue(spark, sources):
+    rows = [(i, "a b c d e", f"s{i}") for i in range(sources)]
     got = pack(edge_docs(spark, rows)).collect()
-    assert len({g["queue"] for g in got}) <= MAX_QUEUES and sum(g["length"] for g in got) == 300 * 6
+    check_packed(got, [(r[0], x + [1]) for r, x in zip(rows, library("word_bpe_49k.json", [r[1] for r in rows]))])
+    assert len({g["queue"] for g in got}) == sources
