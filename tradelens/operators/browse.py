@@ -1,38 +1,48 @@
 """Paginated, nested matched orders, newest first.
 
-Plan shape: the listable matches are written once as narrow key rows. The times
-at the page's first and last rank are found by counting (``quantiles.select_ranks``),
-so a deep page never gathers the rows before it: only rows between these times
-are ranked, a top-k of one page plus the ties before it. The page's rows are
-then unpivoted to their swap ids and broadcast to one scan of the wide swaps and
-one of the wide orders, which are never shuffled. The plan is the same for every
-page and page size.
+First pages (``FIRST_ROWS`` rows of the listing and less) are found progressively:
+the newest matches, about twice as many as are needed, are looked up by
+broadcasting their ids to one narrow scan of the orders and the swaps; only if
+too few of them can be listed are the next, older ones looked up too. Nothing
+is shuffled but these few, and the listing is never built.
+
+For deeper pages the listable matches are written once as narrow rows, each
+with the number of its copies. Either way the page's rows are found by counting
+(``ranking``), also inside one tied time, so no task gathers the rows before the
+page. They are then unpivoted to their swap ids and broadcast to one scan of the
+wide swaps and one of the wide orders, which are never shuffled.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_PAGE, DEFAULT_PER_PAGE
 from ..functions.columns import instant, iso_utc, present
 from ..session import checkpoint_dir
 from .durations import parse_window
-from .quantiles import select_ranks
+from .ranking import find_place, numbered, rows_at, text_key, time_key
 
+#: Listed rows up to which pages are found progressively, and the matches that are looked up for that at most.
+FIRST_ROWS = 1_000
+_MOST_CANDIDATES = 128 * FIRST_ROWS
+_WIDER = 8
 MATCH = ["create_order_id", "source_swap_id", "destination_swap_id", "created_at", "updated_at", "deleted_at"]
 
 
-def _order():
-    """Newest first (NULL times first, as the original database sorted), ties by ids."""
-    return [
-        F.col("created_at").desc_nulls_first(),
-        F.col("create_order_id").asc(),
-        F.col("source_swap_id").asc(),
-        F.col("destination_swap_id").asc(),
-    ]
+#: Newest first (NULL times first, as the original database sorted), ties by ids, and equal ones by the other times.
+_ORDER = ["_age", "_order_id", "_source_id", "_destination_id", "_updated", "_deleted"]
+
+
+def _ordered(keys: DataFrame, newest: int | None) -> DataFrame:
+    """``keys`` with the columns of ``_ORDER``; ``newest``: the largest ``created_at`` in microseconds."""
+    age = F.coalesce(F.lit(newest).cast("long") - F.unix_micros("created_at") + 1, F.lit(0).cast("long"))
+    ids = [text_key(c) for c in ("create_order_id", "source_swap_id", "destination_swap_id")]
+    columns = [age, *ids, time_key("updated_at"), time_key("deleted_at")]
+    return keys.select("*", *[c.alias(k) for c, k in zip(columns, _ORDER)])
 
 
 def page_args(page: int | None = None, per_page: int | None = None) -> tuple[int, int]:
@@ -56,41 +66,99 @@ def listable_matches(
     Both legs of a match meet ``swaps`` in one join and are folded back; a match
     that is stored several times is listed as often.
     """
+    counted = _listable(_matches(matched_orders, created_before), create_orders, swaps, successful)
+    return counted.select(*MATCH, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*MATCH)
+
+
+def _matches(matched_orders: DataFrame, created_before=None) -> DataFrame:
     keys = matched_orders.select(*MATCH)
     if created_before is not None:
         keys = keys.where(F.col("created_at") < instant(parse_window(str(created_before))[0]))
-    sw = swaps
+    return keys
+
+
+def _finished(swaps: DataFrame, successful: bool) -> DataFrame:
     if successful:
-        sw = swaps.where(present("initiate_tx_hash") & present("redeem_tx_hash"))
-    legs = F.array(
-        F.struct(F.lit(1).alias("s"), F.lit(0).alias("d"), F.col("source_swap_id").alias("swap_id")),
-        F.struct(F.lit(0).alias("s"), F.lit(1).alias("d"), F.col("destination_swap_id").alias("swap_id")),
+        swaps = swaps.where(present("initiate_tx_hash") & present("redeem_tx_hash"))
+    return swaps.select("swap_id")
+
+
+def _legs(source: Column, destination: Column) -> Column:
+    """One row per leg of a match: which it is, and its swap."""
+    return F.inline(
+        F.array(
+            F.struct(source.alias("s"), (1 - source).alias("d"), F.col("source_swap_id").alias("swap_id")),
+            F.struct((1 - destination).alias("s"), destination.alias("d"), F.col("destination_swap_id").alias("swap_id")),
+        )
     )
-    met = keys.select(*MATCH, F.inline(legs)).join(sw.select("swap_id"), "swap_id", "left_semi")
+
+
+def _listable(keys: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool) -> DataFrame:
+    """The distinct matches that can be listed, with their ``copies``."""
+    one = F.lit(1)
+    met = keys.select(*MATCH, _legs(one, one)).join(_finished(swaps, successful), "swap_id", "left_semi")
     whole = met.groupBy(*MATCH).agg(F.sum("s").alias("s"), F.sum("d").alias("d")).where("s > 0 AND d > 0")
     whole = whole.join(
         create_orders.select(F.col("create_id").alias("create_order_id")), "create_order_id", "left_semi"
     )
-    times = F.explode(F.sequence(F.lit(1), F.least("s", "d").cast("int")))
-    return whole.select(*MATCH, times.alias("_copy")).select(*MATCH)
-
-
-def _page_rows(keys: DataFrame, offset: int, per_page: int) -> DataFrame:
+    return whole.select(*MATCH, F.least("s", "d").alias("copies"))
+
+
+def _looked_up(keys: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool) -> DataFrame:
+    """As ``_listable`` for a few matches with ``copies``: their ids are broadcast, the large tables only scanned."""
+    ids = F.explode(F.array("source_swap_id", "destination_swap_id")).alias("swap_id")
+    swap_ids = _finished(swaps, successful).join(F.broadcast(keys.select(ids).distinct()), "swap_id", "left_semi").distinct()
+    orders = create_orders.select(F.col("create_id").alias("create_order_id"))
+    order_ids = orders.join(F.broadcast(keys.select("create_order_id").distinct()), "create_order_id", "left_semi").distinct()
+    for side in ("source_swap_id", "destination_swap_id"):
+        keys = keys.join(F.broadcast(swap_ids.withColumnRenamed("swap_id", side)), side, "left_semi")
+    return keys.join(F.broadcast(order_ids), "create_order_id", "left_semi").select(*MATCH, "copies")
+
+
+def _first_listed(
+    matches: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool, wanted: int, folder: str
+) -> tuple[DataFrame, int | None] | None:
+    """At least the ``wanted`` first rows of the listing (all, if there are fewer), and the newest time; None if too many would be looked up."""
+    spark = matches.sparkSession
+    every = matches.agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_micros("created_at")).alias("newest")).first()
+    rows = _ordered(matches.withColumn("copies", F.lit(1).cast("long")), every["newest"])
+    reach, last, listed, paths = 2 * wanted, None, 0, []
+    while reach <= _MOST_CANDIDATES:
+        part = rows if last is None else rows.where(~last.upto(_ORDER))
+        if reach < every["n"]:
+            last = find_place(rows, _ORDER, reach, wanted, "copies")
+            part = part.where(last.upto(_ORDER))
+        paths.append(f"{folder}/first-{len(paths)}")
+        few = part.groupBy(*MATCH).agg(F.sum("copies").alias("copies"))
+        few.write.parquet(f"{paths[-1]}-candidates")
+        few = spark.read.schema(few.schema).parquet(f"{paths[-1]}-candidates")
+        found = _looked_up(few, create_orders, swaps, successful)
+        found.write.parquet(paths[-1])
+        listed += spark.read.schema(found.schema).parquet(paths[-1]).agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+        if listed >= wanted or reach >= every["n"]:
+            return spark.read.schema(found.schema).parquet(*paths), every["newest"]
+        reach *= _WIDER
+    return None
+
+
+def _page_rows(matches: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool, offset: int, per_page: int) -> DataFrame:
     """The rows of ranks offset + 1 to offset + per_page, with ``row_no``."""
-    micros = F.unix_micros("created_at")
-    every = keys.agg(F.count(F.lit(1)).alias("n"), F.max(micros).alias("newest")).first()
+    spark = matches.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{uuid.uuid4().hex}"
+    first = None
+    if offset + per_page <= FIRST_ROWS:
+        first = _first_listed(matches, create_orders, swaps, successful, offset + per_page, folder)
+    last = offset + per_page
+    if first is not None:
+        keys, newest = first  # as many rows as were looked up, at most
+        return numbered(_ordered(keys, newest), _ORDER, offset + 1, last, "copies", "row_no").drop(*_ORDER)
+    whole = _listable(matches, create_orders, swaps, successful)
+    whole.write.parquet(f"{folder}/listable")
+    keys = spark.read.schema(whole.schema).parquet(f"{folder}/listable")
+    every = keys.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), F.max(F.unix_micros("created_at")).alias("newest")).first()
     if every["n"] <= offset:
         return keys.limit(0).withColumn("row_no", F.lit(0).cast("long"))
-    # distance from the newest: ascending is the page order, NULL times come first
-    age = F.coalesce(F.lit(every["newest"]).cast("long") - micros + 1, F.lit(0).cast("long"))
-    values = keys.select(F.lit(0).alias("all"), age.alias("v"))
-    last = min(every["n"], offset + per_page)
-    first, final = sorted(select_ranks(values, [(0, 0, offset + 1), (0, 1, last)], ["all"]), key=lambda r: r["q"])
-    ties = first["r"] - 1  # rows before the page that share its first row's time
-    near = keys.where(age.between(first["lo"], final["lo"])).orderBy(*_order()).limit(ties + per_page)
-    # at most ties + per_page rows: numbering them in one window partition is bounded
-    place = F.row_number().over(Window.orderBy(*_order()))
-    return near.withColumn("row_no", (place + F.lit(offset - ties)).cast("long")).where(F.col("row_no") > offset)
+    return rows_at(_ordered(keys, every["newest"]), _ORDER, offset + 1, min(every["n"], last), "copies", "row_no").drop(*_ORDER)
 
 
 def matched_orders_page(
@@ -104,11 +172,8 @@ def matched_orders_page(
 ) -> DataFrame:
     """One page: ``row_no``, the match's times, and the nested create order and both swaps."""
     page, per_page = page_args(page, per_page)
-    spark = matched_orders.sparkSession
-    keys = listable_matches(matched_orders, create_orders, swaps, successful, created_before)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tradelens-{uuid.uuid4().hex}/listable"
-    keys.write.parquet(path)
-    top = _page_rows(spark.read.schema(keys.schema).parquet(path), (page - 1) * per_page, per_page)
+    matches = _matches(matched_orders, created_before)
+    top = _page_rows(matches, create_orders, swaps, successful, (page - 1) * per_page, per_page)
 
     # The broadcasts hold the page's rows and their swap ids: per_page and twice per_page rows.
     legs = F.array(
@@ -158,8 +223,8 @@ def listable_items(
     matched_orders: DataFrame, create_orders: DataFrame, swaps: DataFrame, successful: bool = False
 ) -> DataFrame:
     """One row: how many matches the pages list."""
-    keys = listable_matches(matched_orders, create_orders, swaps, successful)
-    return keys.agg(F.count(F.lit(1)).alias("listable_items"))
+    counted = _listable(_matches(matched_orders), create_orders, swaps, successful)
+    return counted.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("listable_items"))
 
 
 def _iso_struct(name: str, schema) -> Column:
