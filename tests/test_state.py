@@ -18,7 +18,7 @@ from tradelens.sources import store
 
 def test_replaced_input_is_read_again(spark):
     root = tempfile.mkdtemp(prefix="tl-input-")
-    shutil.copy(f"{SF_SMALL}/orders.parquet", f"{root}/orders.parquet")
+    shutil.copyfile(f"{SF_SMALL}/orders.parquet", f"{root}/orders.parquet")
     query = registry.QUERIES["settled_orders"]
     assert query(spark, root).count() == 1197
     first = registry.state(spark, root)
@@ -84,7 +84,7 @@ def test_months_windows_and_text_are_utc(spark, zone):
 
 def test_analysis_is_the_same_in_every_zone(spark, zone):
     root = tempfile.mkdtemp(prefix="tl-zone-")
-    shutil.copy(f"{SF_SMALL}/orders.parquet", f"{root}/orders.parquet")
+    shutil.copyfile(f"{SF_SMALL}/orders.parquet", f"{root}/orders.parquet")
     st = registry.state(spark, root)
     assert st.stored.count() == 1197
     assert (st.an.normal_us.count(), st.an.anomalous_us.count()) == (535, 59)
