@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import IST_OFFSET
+from ..config import EVENTS, IST_OFFSET
 
 MICROS_PER_SECOND = 1_000_000
 _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
@@ -100,3 +101,11 @@ def hex_to_long(c: str | Column) -> Column:
 def tx_hash_head(c: str | Column) -> Column:
     """Text before the first ':' (bitcoin hashes carry an output index)."""
     return F.split(col_(c), ":").getItem(0)
+
+
+def missing_time_gate() -> Column:
+    """Some event of an order has a block number but no timestamp."""
+    return reduce(
+        lambda a, b: a | b,
+        [F.col(f"{e}_block_number").isNotNull() & F.col(e).isNull() for e in EVENTS],
+    )

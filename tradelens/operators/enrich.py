@@ -11,9 +11,10 @@ Scale notes:
   requests are never recomputed per lookup kind.
 * A request without a key cannot match: it skips the transaction join, and its
   block key is salted so that keyless rows never pile up in one task.
-* Lookup tables are reduced to one row per key before the join; the reduction
-  is hash-partitioned on the join key, so the join reuses it without another
-  shuffle, and no request is ever multiplied by a repeated key.
+* Lookup tables have one row per key, so no request is ever multiplied. A
+  recurring run reads them bucketed and sorted by key (``sources.lookups``) and
+  shuffles its requests only; raw tables are reduced first, hash-partitioned on
+  the join key, and the join reuses that shuffle.
 * A hot key (many orders in one block or one transaction) is joined by a
   broadcast of its lookup row instead of in one task (``joins.lookup_join``).
 * Only orders that pass the candidate gate are shuffled for the merge; all
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EVENT_SIDE, EVENTS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
-from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, present, tx_hash_head
+from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, missing_time_gate, present, tx_hash_head
 from ..sources.schemas import FINAL_ORDER_COLUMNS
 from .joins import hot_keys, lookup_join
 
@@ -37,14 +38,6 @@ def _chain_of(event: str) -> Column:
     return F.col(f"{EVENT_SIDE[event]}_chain")
 
 
-def missing_time_gate() -> Column:
-    """First gate: some event has a block number but no timestamp."""
-    return reduce(
-        lambda a, b: a | b,
-        [F.col(f"{e}_block_number").isNotNull() & F.col(e).isNull() for e in EVENTS],
-    )
-
-
 def lookup_class_gate() -> Column:
     """Second gate: some event is missing its time and has the key its chain is looked up by."""
     tx_chains = list(TX_LOOKUP_CHAINS)
@@ -105,8 +98,11 @@ def lookup_requests(final_orders: DataFrame, order_ids: DataFrame | None = None)
 def block_times(blocks: DataFrame) -> DataFrame:
     """(chain, block_number) -> epoch seconds, one row per key.
 
-    hyperliquid publishes hex text (``0x...``); the others a number.
+    hyperliquid publishes hex text (``0x...``); the others a number. A table
+    that is in this form already (``sources.lookups``) stays as it is.
     """
+    if "found_time" in blocks.columns:
+        return blocks.select("chain", "block_number", "found_time")
     t = F.when(F.col("chain") == "hyperliquid", hex_to_long("block_time_raw")).otherwise(F.col("block_time"))
     return (
         blocks.select("chain", "block_number", t.alias("t"))
@@ -119,8 +115,11 @@ def tx_records(transactions: DataFrame) -> DataFrame:
     """(chain, tx_hash) -> (block number, epoch seconds), one row per key.
 
     Of a repeated hash one whole row is taken: one with a block first, then the
-    smallest block, then one with a time, then the smallest time.
+    smallest block, then one with a time, then the smallest time. A table that
+    is in this form already (``sources.lookups``) stays as it is.
     """
+    if "tx_block_number" in transactions.columns:
+        return transactions.select("chain", "tx_hash", "tx_block_number", "tx_time")
     row = F.struct(
         F.col("block_number").isNull().alias("no_block"),
         F.col("block_number").alias("tx_block_number"),

@@ -21,6 +21,8 @@ row per (route, metric, quartile): at most len(chains)^2 * 4 * 2.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +33,10 @@ FIRST_SCALE = 1 << 16
 SPLIT_BITS = 21
 
 
-def metric_values(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
-    """Long form: (route, metric, v), unpivoted in one pass; v is NULL where the metric is."""
+def metric_values(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS, also: tuple[str, ...] = ()) -> DataFrame:
+    """Long form: (``also``, route, metric, v), unpivoted in one pass; v is NULL where the metric is."""
     arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"{m}_us").alias("v")) for m in metrics])
-    return durations_us.select(*ROUTE, F.inline(arr))
+    return durations_us.select(*also, *ROUTE, F.inline(arr))
 
 
 def route_metric_counts(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
@@ -46,10 +48,9 @@ def _first_bucket() -> Column:
     return F.floor(F.log1p(F.col("v").cast("double")) * FIRST_SCALE)
 
 
-def _histogram(values: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
-    return values.groupBy(*keys, bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
+def _histogram(values: DataFrame, keys: list[str], bucket: Column, weight: str | None = None) -> DataFrame:
+    count = F.sum(weight) if weight else F.count(F.lit(1))
+    return values.groupBy(*keys, bucket.alias("bucket")).agg(count.alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi"))
 
 
 def _running(hist: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,13 +59,13 @@ def _running(hist: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _holding(running: DataFrame, keys: list[str]) -> DataFrame:
-    """Buckets that hold the wanted rank, with the rank left inside and the bucket's range."""
+    """Buckets that hold the wanted rank, with the rank left inside, the bucket's range and its count."""
     return running.where((F.col("upto") - F.col("cnt") < F.col("r")) & (F.col("r") <= F.col("upto"))).select(
-        *keys, "q", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"), "lo", "hi"
+        *keys, "q", (F.col("r") - (F.col("upto") - F.col("cnt"))).alias("r"), "lo", "hi", F.col("cnt").alias("n")
     )
 
 
-def _narrow(values: DataFrame, keys: list[str], found: list[Row]) -> list[Row]:
+def _narrow(values: DataFrame, keys: list[str], found: list[Row], weight: str | None = None) -> list[Row]:
     """Pass after pass over the values of ranges that still hold several, until every rank has its value."""
     kinds = {f.name: f.dataType.simpleString() for f in values.schema.fields}
     schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["q long", "r long", "lo long", "hi long", "shift int"])
@@ -76,26 +77,41 @@ def _narrow(values: DataFrame, keys: list[str], found: list[Row]) -> list[Row]:
         ranges = F.broadcast(values.sparkSession.createDataFrame(rows, schema).withColumnsRenamed({"lo": "from", "hi": "to"}))
         inside = values.join(ranges, keys).where(F.col("v").between(F.col("from"), F.col("to")))
         part = F.call_function("shiftright", F.col("v") - F.col("from"), F.col("shift"))
-        hist = _histogram(inside, [*keys, "q", "r"], part)
+        hist = _histogram(inside, [*keys, "q", "r"], part, weight)
         done = [r for r in found if r["lo"] == r["hi"]]
         found = done + _holding(_running(hist, [*keys, "q", "r"]), keys).collect()
     return found
 
 
-def select_ranks(values: DataFrame, targets: list[tuple], keys: list[str]) -> list[Row]:
-    """The value at an ascending rank (1-based) for every target: keys, q, r, lo, hi.
+def select_ranks(values: DataFrame, targets: list[tuple], keys: list[str], weight: str | None = None) -> list[Row]:
+    """The value at an ascending rank (1-based) for every target: keys, q, r, lo, hi, n.
 
     ``values``: keys + ``v`` (non-negative long, NULLs left out); ``targets``:
     tuples of keys, ``q`` and rank, where (keys, ``q``) names one target. They
     and the result are on the driver: the caller's few ranks. ``lo`` and ``hi``
-    are the value, ``r`` the rank among the rows that equal it.
+    are the value, ``r`` the rank among the ``n`` rows that equal it. With
+    ``weight``, a long column, a row counts so many times.
     """
     values = values.where(F.col("v").isNotNull())
     kinds = {f.name: f.dataType.simpleString() for f in values.schema.fields}
     schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["q long", "r long"])
     wanted = F.broadcast(values.sparkSession.createDataFrame(targets, schema))
-    running = _running(_histogram(values, keys, _first_bucket()), keys)
-    return _narrow(values, keys, _holding(running.join(wanted, keys), keys).collect())
+    running = _running(_histogram(values, keys, _first_bucket(), weight), keys)
+    return _narrow(values, keys, _holding(running.join(wanted, keys), keys).collect(), weight)
+
+
+def route_histograms(durations_us: DataFrame, by: tuple[str, ...] = (), metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
+    """Per (``by``, route, metric) the first pass's buckets with count, smallest and largest value.
+
+    Histograms of parts of the orders add up to that of all (``merged_histograms``).
+    Rows without a value have the bucket NULL, so every route is listed.
+    """
+    return _histogram(metric_values(durations_us, metrics, by), [*by, *ROUTE, "metric"], _first_bucket())
+
+
+def merged_histograms(histograms: DataFrame) -> DataFrame:
+    """The sum of histograms, per (route, metric)."""
+    return histograms.groupBy(*ROUTE, "metric", "bucket").agg(F.sum("cnt").alias("cnt"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def route_quartiles_us(durations_us: DataFrame, metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
@@ -103,9 +119,12 @@ def route_quartiles_us(durations_us: DataFrame, metrics: tuple[str, ...] = FENCE
 
     Runs the passes now; the result is a local table of at most one row per route.
     """
+    return quartiles_of(route_histograms(durations_us, metrics=metrics), lambda _: metric_values(durations_us, metrics), metrics)
+
+
+def quartiles_of(hist: DataFrame, values_in: Callable[[list[Row]], DataFrame], metrics: tuple[str, ...] = FENCED_METRICS) -> DataFrame:
+    """``route_quartiles_us`` from its first histogram; ``values_in(ranges)`` gives the values to look for in ranges that hold several."""
     keys = [*ROUTE, "metric"]
-    values = metric_values(durations_us, metrics)
-    hist = _histogram(values, keys, _first_bucket())
     some = hist.where(F.col("bucket").isNotNull())
     n1 = F.sum("cnt").over(Window.partitionBy(*keys)) + 1
     # rank floor(q * (n + 1) / 4) for q = 1, 3; division by 4 is exact in binary floating point
@@ -117,13 +136,13 @@ def route_quartiles_us(durations_us: DataFrame, metrics: tuple[str, ...] = FENCE
     )
     running = _running(some, keys).withColumn("n1", n1).select("*", F.inline(ranks))
     # The routes come with the same histogram, also those without any value.
-    none = [F.lit(None).cast("long").alias(c) for c in ("q", "r", "lo", "hi")]
+    none = [F.lit(None).cast("long").alias(c) for c in ("q", "r", "lo", "hi", "n")]
     listed = hist.groupBy(*ROUTE).agg(F.min("metric").alias("metric")).select(*keys, *none)
     found = _holding(running, keys).unionByName(listed).collect()
     routes = sorted({tuple(r[k] for k in ROUTE) for r in found}, key=repr)
-    picked = {
-        (*[r[k] for k in keys], r["q"]): r["lo"] for r in _narrow(values, keys, [r for r in found if r["q"] is not None])
-    }
+    found = [r for r in found if r["q"] is not None]
+    narrowed = _narrow(values_in([r for r in found if r["lo"] < r["hi"]]), keys, found)
+    picked = {(*[r[k] for k in keys], r["q"]): r["lo"] for r in narrowed}
     rows = [(*route, *[picked.get((*route, m, q)) for m in metrics for q in (1, 3)]) for route in routes]
     schema = ", ".join([f"{c} string" for c in ROUTE] + [f"q{q}_{m}_us long" for m in metrics for q in (1, 3)])
-    return durations_us.sparkSession.createDataFrame(rows, schema)
+    return hist.sparkSession.createDataFrame(rows, schema)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ALL_METRICS, FENCED_METRICS, SUPPORTED_CHAINS
@@ -224,6 +224,33 @@ def write_orders_by_route(docs: DataFrame, path: str) -> None:
     )
 
 
+def route_chunks(docs: DataFrame, chunk_rows: int, path: str) -> DataFrame:
+    """The arrays of ``orders_by_route`` in numbered chunks: route, chunk (from 0), first_row, rows, orders_json.
+
+    ``orders_json`` is a JSON array of at most ``chunk_rows`` orders; a route's
+    chunks, one after the other, are the array that the service answered with.
+    Rows are range-sorted once and written to ``path``, a fresh folder. A row's
+    place in its route is its place in its partition and the number of the route's
+    rows in the partitions before; these counts have a row for each route and
+    partition that meet, at most as many as there are of both. No task gets a route.
+    """
+    order = ["route", "created_at", "create_order_id"]
+    ranged = docs.select(*order, "order_json").repartitionByRange(*order).sortWithinPartitions(*order)
+    number = F.monotonically_increasing_id()  # the partition, and the place in it
+    ranged.withColumn("part", F.spark_partition_id()).withColumn("place", number).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    counts = rows.groupBy("route", "part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("begin"))
+    earlier = Window.partitionBy("route").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("route", "part", "begin", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    placed = rows.join(F.broadcast(bases), ["route", "part"]).withColumn("row", F.col("base") + F.col("place") - F.col("begin"))
+    chunk = F.floor(F.col("row") / chunk_rows)
+    gathered = placed.groupBy("route", chunk.alias("chunk")).agg(
+        F.min("row").alias("first_row"), F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list(F.struct("row", "order_json"))).alias("o")
+    )
+    texts = F.array_join(F.transform("o", lambda x: x["order_json"]), ",")
+    return gathered.select("route", "chunk", "first_row", "rows", F.concat(F.lit("["), texts, F.lit("]")).alias("orders_json"))
+
+
 def averages_document(last_updated_df: DataFrame, matrix: DataFrame, averages: DataFrame, fences: DataFrame) -> DataFrame:
     """The averages answer as one JSON text row: last_updated, averages and thresholds keyed by route.
 

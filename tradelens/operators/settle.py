@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import blank_to_null, positive, present
+from ..functions.columns import blank_to_null, instant, positive, present
 from ..sources.schemas import FINAL_ORDER_COLUMNS, FINAL_ORDERS
 
 _LEG_FIELDS = (
@@ -121,6 +121,34 @@ def settled_orders(create_orders: DataFrame, matched_orders: DataFrame, swaps: D
     return conform(out)
 
 
+def changed_orders(create_orders: DataFrame, matched_orders: DataFrame, swaps: DataFrame, since) -> DataFrame:
+    """Ids of the orders that may have settled at or after ``since`` (a UTC datetime).
+
+    Those with a match or a finished swap updated since then, or created since
+    then; a row without its time counts as changed.
+    """
+
+    def recent(c: str) -> Column:
+        return F.col(c).isNull() | (F.col(c) >= instant(since))
+
+    finished = swaps.where(settled_swap() & recent("updated_at")).select("swap_id")
+    legs = matched_orders.select("create_order_id", F.explode(F.array("source_swap_id", "destination_swap_id")).alias("swap_id"))
+    by_swap = legs.join(finished, "swap_id", "left_semi").select("create_order_id")
+    by_match = matched_orders.where(recent("updated_at")).select("create_order_id")
+    by_order = create_orders.where(recent("created_at")).select(F.col("create_id").alias("create_order_id"))
+    return by_swap.unionByName(by_match).unionByName(by_order).distinct()
+
+
+def settled_changes(create_orders: DataFrame, matched_orders: DataFrame, swaps: DataFrame, changed: DataFrame) -> DataFrame:
+    """``settled_orders`` of the ``changed`` orders only, joined back to all their matches and legs.
+
+    What the full settle has for these orders, so appending it to a table that
+    holds the rest gives the same table.
+    """
+    of_changed = matched_orders.join(changed.select("create_order_id"), "create_order_id", "left_semi")
+    return settled_orders(create_orders, of_changed, swaps)
+
+
 def conform(df: DataFrame) -> DataFrame:
     """Columns of the analysis table, in table order and with declared types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FINAL_ORDERS.fields])

@@ -17,6 +17,7 @@ from ..operators import enrich, quantiles, routes, settle
 from ..session import checkpoint_dir
 from ..sources import store
 from ..sources.fixtures import Sources
+from ..sources.lookups import Lookups
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -38,8 +39,11 @@ def new_orders(sources: Sources, existing: DataFrame | None) -> DataFrame:
     return settle.append_new_orders(candidates, existing)
 
 
-def enrichment(final_orders: DataFrame, sources: Sources, work: str | None = None) -> EnrichmentRun:
-    """The enrichment plans. With ``work``, a fresh folder, the requests are written there once."""
+def enrichment(final_orders: DataFrame, sources: Sources | Lookups, work: str | None = None) -> EnrichmentRun:
+    """The enrichment plans. With ``work``, a fresh folder, the requests are written there once.
+
+    ``sources`` holds the lookups as they came or in bucketed form.
+    """
     requests = enrich.lookup_requests(final_orders)
     if work is not None:
         requests.write.parquet(f"{work}/requests")

@@ -17,22 +17,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import SUPPORTED_CHAINS
 from ..functions.columns import instant, iso_utc
 from ..operators import browse, enrich, routes, settle
 from ..operators import durations as dur
 from ..sources.fixtures import Sources, derive_sources
 from ..session import checkpoint_dir
 from ..sources import store
+from ..sources.lookups import Lookups, write_lookups
 from ..operators.durations import parse_window
-from .pipelines import Analysis, EnrichmentRun, analysis, enrichment, new_orders
+from . import duration_store
+from .pipelines import Analysis, EnrichmentRun, analysis, enrichment, new_orders, work_folder
 
 # Fixed query parameters: the analysis window, an earlier sync's cut-off, and two pages.
 WINDOW_START = "1996-01-01"
 WINDOW_END = "1999-12-31"
 EARLIER_SYNC_BEFORE = "1998-01-01"
+WINDOW_INSIDE = ("1994-03-15T10:00:00", "1997-10-20T12:30:00")
+CHUNK_ROWS = 50
 PAGE_ALL = (1, 10)
 PAGE_SUCCESSFUL = (2, 20)
 PAGE_DEEP = (500, 20)
+PAGE_TIED = (40, 15)
+#: Days that share one time in the page inside a tied time.
+TIED_DAYS = 1000
 
 
 def api_view(df: DataFrame) -> DataFrame:
@@ -80,6 +88,12 @@ class _State:
             tables[name] = self.spark.read.parquet(path)
         return Sources(**tables)
 
+    @cached_property
+    def lookups(self) -> Lookups:
+        """The lookup tables in buckets, as recurring runs read them."""
+        name = f"tradelens_{uuid.uuid4().hex}"
+        return write_lookups(self.spark, self.src.blocks, self.src.transactions, f"{self.base}/lookups", name)
+
     @cached_property
     def stored(self) -> DataFrame:
         """The analysis table after one sync into an empty table."""
@@ -89,7 +103,7 @@ class _State:
 
     @cached_property
     def run(self) -> EnrichmentRun:
-        return enrichment(self.stored, self.src, f"{self.base}/enrichment")
+        return enrichment(self.stored, self.lookups, f"{self.base}/enrichment")
 
     @cached_property
     def enriched_path(self) -> str:
@@ -102,6 +116,13 @@ class _State:
         """The analysis table after one enrichment pass (a new snapshot)."""
         return store.read_orders_table(self.spark, self.enriched_path)
 
+    @cached_property
+    def durations_path(self) -> str:
+        """Durations, values and histograms by month, as every enrichment refreshes them."""
+        path = f"{self.base}/durations_by_month"
+        duration_store.refresh(self.enriched, path)
+        return path
+
     @cached_property
     def an(self) -> Analysis:
         pruned = store.read_orders_table(self.spark, self.enriched_path, *self.window)
@@ -146,12 +167,28 @@ def q_append_new_orders(spark, sf_dir):
     return api_view(settle.append_new_orders(candidates, earlier))
 
 
+def q_settled_changes(spark, sf_dir):
+    s = state(spark, sf_dir).src
+    tables = (s.create_orders, s.matched_orders, s.swaps)
+    changed = settle.changed_orders(*tables, parse_window(EARLIER_SYNC_BEFORE)[0])
+    return api_view(settle.settled_changes(*tables, changed))
+
+
+def q_rejected_candidates(spark, sf_dir):
+    """What the table refuses, with chains that are not supported taken as missing."""
+    s = state(spark, sf_dir).src
+    candidates = settle.settled_orders(s.create_orders, s.matched_orders, s.swaps)
+    for side in ("source_chain", "destination_chain"):
+        candidates = candidates.withColumn(side, F.when(F.col(side).isin(list(SUPPORTED_CHAINS)), F.col(side)))
+    return settle.rejected(candidates).withColumn("missing", F.array_join("missing", ","))
+
+
 def q_orders_table_schema(spark, sf_dir):
     return settle.table_profile(state(spark, sf_dir).enriched)
 
 
 def q_timestamp_candidates(spark, sf_dir):
-    return enrich.timestamp_candidates(state(spark, sf_dir).enriched)
+    return enrich.timestamp_candidates(store.read_orders_table(spark, state(spark, sf_dir).enriched_path, only_open=True))
 
 
 def q_lookup_requests(spark, sf_dir):
@@ -160,17 +197,17 @@ def q_lookup_requests(spark, sf_dir):
 
 def q_resolve_by_block(spark, sf_dir):
     st = state(spark, sf_dir)
-    return enrich.resolve_by_block(st.run.requests, st.src.blocks)
+    return enrich.resolve_by_block(st.run.requests, st.lookups.blocks)
 
 
 def q_resolve_by_transaction(spark, sf_dir):
     st = state(spark, sf_dir)
-    return enrich.resolve_by_transaction(st.run.requests, st.src.transactions, st.src.blocks)
+    return enrich.resolve_by_transaction(st.run.requests, st.lookups.transactions, st.lookups.blocks)
 
 
 def q_resolve_bitcoin(spark, sf_dir):
     st = state(spark, sf_dir)
-    return enrich.resolve_bitcoin(st.run.requests, st.src.transactions, st.src.blocks)
+    return enrich.resolve_bitcoin(st.run.requests, st.lookups.transactions, st.lookups.blocks)
 
 
 def q_enriched_orders(spark, sf_dir):
@@ -238,6 +275,16 @@ def q_anomalies_by_route(spark, sf_dir):
     return routes.orders_by_route(routes.anomalous_orders(an.durations_us, an.quartiles_us), with_thresholds=True)
 
 
+def q_route_chunks(spark, sf_dir):
+    st = state(spark, sf_dir)
+    docs = routes.orders_by_route(routes.normal_orders(st.an.durations_us, st.an.quartiles_us))
+    return routes.route_chunks(docs, CHUNK_ROWS, f"{work_folder(spark)}/by-route")
+
+
+def q_window_quartiles(spark, sf_dir):
+    return routes.route_quartiles(duration_store.window_quartiles_us(spark, state(spark, sf_dir).durations_path, *WINDOW_INSIDE))
+
+
 def q_matched_orders_page(spark, sf_dir):
     s = state(spark, sf_dir).src
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL))
@@ -253,6 +300,14 @@ def q_matched_orders_deep_page(spark, sf_dir):
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_DEEP))
 
 
+def q_tied_matches_page(spark, sf_dir):
+    """A page of matches that share their time with many others, as after a bulk import."""
+    s = state(spark, sf_dir).src
+    us = F.unix_micros("created_at")
+    tied = s.matched_orders.withColumn("created_at", F.timestamp_micros(us - F.pmod(us, F.lit(TIED_DAYS * 86_400_000_000))))
+    return flat_page(browse.matched_orders_page(tied, s.create_orders, s.swaps, *PAGE_TIED))
+
+
 def q_page_info(spark, sf_dir):
     return browse.page_info(state(spark, sf_dir).src.matched_orders, *PAGE_ALL)
 
@@ -288,6 +343,8 @@ def q_averages_document(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "settled_orders": q_settled_orders,
     "append_new_orders": q_append_new_orders,
+    "settled_changes": q_settled_changes,
+    "rejected_candidates": q_rejected_candidates,
     "orders_table_schema": q_orders_table_schema,
     "timestamp_candidates": q_timestamp_candidates,
     "lookup_requests": q_lookup_requests,
@@ -309,8 +366,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_updated": q_last_updated,
     "orders_by_route": q_orders_by_route,
     "anomalies_by_route": q_anomalies_by_route,
+    "route_chunks": q_route_chunks,
+    "window_quartiles": q_window_quartiles,
     "matched_orders_page": q_matched_orders_page,
     "successful_matched_orders_page": q_successful_matched_orders_page,
+    "tied_matches_page": q_tied_matches_page,
     "page_info": q_page_info,
     "matched_orders_deep_page": q_matched_orders_deep_page,
     "listable_items": q_listable_items,

@@ -1,16 +1,18 @@
 """The recurring sync-and-enrich job (the service ran it every 12 hours).
 
 One run appends the settled orders that the table does not hold yet, then fills
-missing event times from the lookup tables. Both steps publish a new version of
-the table (``sources.manifest``): the append adds folders, the enrichment
-replaces the months in which it found a time and no others. A failed run leaves
-the last version as it is and can be repeated; a repeated or overlapping run
-stores no order twice.
+missing event times from the lookup tables and replaces the months in which it
+found one. The anti join of the append reads only months that hold a new
+candidate; the search for missing times reads open rows only. With ``since``, the
+time of the last run, only orders with something changed since then are settled.
+
+A failed run leaves the table as it was before the step that failed, and can be
+repeated: it stores no order twice. Two runs must not overlap, as in the
+original service, whose scheduler skipped a run while another was at work.
 
 This is a batch job on purpose: swaps change after they are first seen (redeems
-and refunds arrive later), and the original re-reads the whole order book on
-every run. An append-only stream joined to static swaps would never revisit a
-match that was not settled when it arrived.
+and refunds arrive later). An append-only stream joined to static swaps would
+never revisit a match that was not settled when it arrived.
 """
 
 from __future__ import annotations
@@ -18,45 +20,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enrich
+from ..functions.columns import missing_time_gate
+from ..operators import enrich, settle
+from ..sources import store
 from ..sources.fixtures import Sources
-from ..sources.manifest import Months, OrdersTable, merged, months_of
-from .pipelines import new_orders, work_folder
+from ..sources.lookups import Lookups
+from .pipelines import work_folder
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def candidates(spark: SparkSession, sources: Sources, work: str, since=None) -> DataFrame:
+    """The storable settled orders, one row each, written to ``work``; with ``since`` of orders changed since then."""
+    tables = (sources.create_orders, sources.matched_orders, sources.swaps)
+    if since is None:
+        settled = settle.settled_orders(*tables)
+    else:
+        settled = settle.settled_changes(*tables, _written(settle.changed_orders(*tables, since), f"{work}/changed"))
+    return _written(settle.append_new_orders(settled, None), f"{work}/settled")
 
-def sync(spark: SparkSession, sources: Sources, root: str) -> DataFrame:
-    """Append the settled orders that are not stored yet; returns the new version."""
-    table = OrdersTable(spark, root)
 
-    def append(months: Months) -> Months:
-        return merged(months, table.write(new_orders(sources, table.read(months))))
+def not_stored(spark: SparkSession, found: DataFrame, root: str) -> DataFrame:
+    """The candidates whose order the table does not hold.
 
-    return table.update(append)
+    An order's ``created_at`` is its own and never changes, so only the months
+    that hold a candidate are read.
+    """
+    stored = store.read_months(spark, root, store.months_of(found)).select("create_order_id")
+    return found.join(stored, "create_order_id", "left_anti")
 
 
-def enrich_months(spark: SparkSession, sources: Sources, root: str) -> DataFrame:
-    """Fill missing event times; rewrites only months that hold an order with a time found for it."""
-    table = OrdersTable(spark, root)
+def sync(spark: SparkSession, sources: Sources, root: str, since=None) -> DataFrame:
+    """Append the settled orders that are not stored yet; returns the table."""
+    store.ensure_table(spark, root)
+    found = candidates(spark, sources, work_folder(spark), since)
+    store.write_orders(not_stored(spark, found, root), root)
+    return store.read_orders_table(spark, root)
 
-    def fill(months: Months) -> Months:
-        stored, work = table.read(months), work_folder(spark)
-        stored.where(enrich.missing_time_gate()).write.parquet(f"{work}/candidates")
-        candidates = spark.read.schema(stored.schema).parquet(f"{work}/candidates")
-        resolved = enrich.resolve_all(
-            enrich.lookup_requests(candidates), sources.blocks, sources.transactions, f"{work}/staged"
-        )
-        resolved.where(F.col("block_time").isNotNull()).write.parquet(f"{work}/found")
-        found = spark.read.schema(resolved.schema).parquet(f"{work}/found")
-        touched = months_of(candidates.join(found, "create_order_id", "left_semi"))
-        if not touched:
-            return months
-        changed = table.write(enrich.enriched_orders(table.read(months, touched), found))
-        return {**months, **changed}
 
-    return table.update(fill)
+def enrich_months(spark: SparkSession, lookups: Sources | Lookups, root: str) -> DataFrame:
+    """Fill missing event times; replaces only months that hold an order with a time found for it."""
+    work = work_folder(spark)
+    store.ensure_table(spark, root)
+    waiting = _written(store.read_orders_table(spark, root, only_open=True).where(missing_time_gate()), f"{work}/candidates")
+    resolved = enrich.resolve_all(enrich.lookup_requests(waiting), lookups.blocks, lookups.transactions, f"{work}/requests")
+    found = _written(resolved.where(F.col("block_time").isNotNull()), f"{work}/found")
+    touched = store.months_of(waiting.join(found, "create_order_id", "left_semi"))
+    if touched:
+        rows = enrich.enriched_orders(store.read_months(spark, root, touched), found)
+        store.replace_months(spark, rows, touched, root, f"{work}/staging")
+    return store.read_orders_table(spark, root)
 
 
-def run_once(spark: SparkSession, sources: Sources, root: str) -> DataFrame:
-    """Sync, then enrich the stored rows; returns the new version of the table."""
-    sync(spark, sources, root)
-    return enrich_months(spark, sources, root)
+def run_once(spark: SparkSession, sources: Sources, root: str, since=None, lookups: Lookups | None = None) -> DataFrame:
+    """Sync, then enrich the stored rows; returns the table. ``lookups``: bucketed ones, instead of those of ``sources``."""
+    sync(spark, sources, root, since)
+    return enrich_months(spark, lookups or sources, root)
