@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .boundaries import code_points, flat_texts
 from .common import map_arrow, slices, text_or_empty, written
 from .deobfuscate import SIZE, CharModel, Readable, four_grams, readings, single, tokens
 
@@ -31,6 +32,9 @@ _BEGINNINGS = (3, 4, 5, 6)
 _SPACED = 3
 _WITHIN = 4
 _TEXT_BYTES = 4 << 20
+# Words of letters below U+0100 with the punctuation around them that reading trims.
+_MARKS = r".,;:?\"'()\[\]{}<>«»“”„-"
+_PLAIN = rf"^[¿¡{_MARKS}]*(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)[!{_MARKS}]*$"
 _KEPT_WORDS = 80_000
 _KEPT_LETTERS = 64
 _FLUSH = 100_000
@@ -78,12 +82,12 @@ class Reader:
         self.model = CharModel(counts)
         self.known: dict[str, object] = {}
 
-    def split(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Distinct words, the word at each place, and the first place of each text (and the end)."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
         offsets = split.offsets.to_numpy().astype(np.int64)
-        return words.dictionary.to_pylist(), words.indices.to_numpy(), offsets - offsets[0]
+        return words.dictionary, words.indices.to_numpy(), offsets - offsets[0]
 
     def lookup(self, words: list[str], make: Callable) -> list:
         if len(self.known) > _KEPT_WORDS:
@@ -98,10 +102,12 @@ class Reader:
             out.append(found)
         return out
 
-    def spaced(self, words: list[str], places: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, set[str]]]:
-        """(text, restored letters, also with both of doubled ones) of runs of ``_SPACED`` and more single characters, none all of one kind."""
-        one = [single(w) for w in words]
-        lone = np.array([bool(c) for c in one] + [False])[places] if len(words) else np.zeros(0, bool)
+    def spaced(self, one: list[str], places: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, set[str]]]:
+        """(text, restored letters, also with both of doubled ones) of runs of ``_SPACED`` and more single characters, none all of one kind.
+
+        ``one``: the single character that each distinct word is, or nothing.
+        """
+        lone = np.array([bool(c) for c in one] + [False])[places] if len(one) else np.zeros(0, bool)
         text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         change = np.flatnonzero(np.diff(lone.astype(np.int8)) | np.diff(text)) + 1
         begin = np.concatenate(([0], change))
@@ -113,6 +119,52 @@ class Reader:
                     yield int(text[b]), {self.model.decode(letters), self.model.decode(letters, True)}
 
 
+def collapsed(words: pa.Array) -> pa.Array:
+    """Words of letters below U+0100 with runs of one letter as one, a byte a letter."""
+    _, data, offsets = flat_texts(words)
+    points, places = code_points(data)
+    ends = np.searchsorted(places, offsets)
+    new = np.ones(len(points), bool)
+    new[1:] = points[1:] != points[:-1]
+    new[ends[:-1][np.diff(ends) > 0]] = True
+    upto = np.concatenate(([0], np.cumsum(new)))[ends].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(upto), pa.py_buffer(points[new].astype(np.uint8))])
+
+
+class Plain:
+    """Which plain words may hold a sign, told for all distinct words of a batch at once.
+
+    Every reading of a plain word collapses to what the word collapses to. So
+    where neither that is a collapsed sign nor begins with a collapsed
+    beginning, no reading is a sign.
+    """
+
+    def __init__(self, signs: Signs):
+        some = lambda s: collapsed(pa.array([w for w in s if w and max(w) < "\u0100"], pa.string())).unique()
+        self.words, self.beginnings = some(signs.words), some(signs.beginnings)
+        self.lengths = pc.binary_length(self.beginnings).unique().to_pylist()
+
+    def core(self, words: pa.Array) -> pa.Array:
+        """The lower-cased letters of plain words, null for others."""
+        return pc.utf8_lower(pc.struct_field(pc.extract_regex(words, _PLAIN), "core"))
+
+    def may(self, core: pa.Array) -> np.ndarray:
+        """False where a plain word (none for null) cannot hold a sign."""
+        short = collapsed(core.fill_null(""))
+        found = pc.is_in(short, value_set=self.words)
+        for k in self.lengths:
+            found = pc.or_(found, pc.is_in(pc.binary_slice(short, 0, k), value_set=self.beginnings))
+        return pc.or_(pc.is_null(core), found).to_numpy(zero_copy_only=False)
+
+
+def _singles(words: pa.Array, core: pa.Array) -> list[str]:
+    """The only character of each word but for punctuation around it, or nothing."""
+    one = pc.if_else(pc.equal(pc.utf8_length(core), 1), core, "").fill_null("").to_pylist()
+    for k in np.flatnonzero(pc.is_null(core).to_numpy(zero_copy_only=False)).tolist():
+        one[k] = single(words[k].as_py())
+    return one
+
+
 def _family(text: str) -> int:
     """The same for most near copies: the least hash of the text's runs of four words."""
     words = text.encode().split()
@@ -146,7 +198,7 @@ def _count(shared, words: dict[str, float] | None) -> Callable:
 
         for batch in slices(batches, 0, _TEXT_BYTES):
             distinct, places, starts = reader.split(batch.column(0))
-            known = reader.lookup(distinct, held)
+            known = reader.lookup(distinct.to_pylist(), held)
             for i, toxic in enumerate(batch.column(1).to_pylist()):
                 here = np.unique(places[starts[i] : starts[i + 1]]).tolist()
                 counts[toxic].update(set().union(*[known[k] for k in here]))
@@ -216,23 +268,26 @@ def _score(shared, signs_of, share: float) -> Callable:
         short = {w: p for w, p in signs.words.items() if _SPACED <= len(w) < _WITHIN}
         longest = max(map(len, whole), default=0)
         # A reading that is no sign tells nothing, so words without one on any path are not decoded.
-        may = Readable(signs.words, signs.beginnings)
+        may, plain = Readable(signs.words, signs.beginnings), Plain(signs)
 
         def chance(word: str) -> float:
             return max(map(signs.chance, tokens(word, reader.model, may)), default=0.0)
 
         for batch in slices(batches, 1, _TEXT_BYTES):
             words, places, starts = reader.split(batch.column(1))
-            p = np.array(reader.lookup(words, chance) + [0.0])
+            core = plain.core(words)
+            asked = np.flatnonzero(plain.may(core))
+            p = np.zeros(len(words) + 1)
+            p[asked] = reader.lookup(words.take(pa.array(asked)).to_pylist(), chance)
             rest = np.full(batch.num_rows, 1 - share)
             read: list[list[tuple[str, str]]] = [[] for _ in range(batch.num_rows)]
             hits = np.flatnonzero(p[places] > 0)
             text = np.searchsorted(starts, hits, side="right") - 1
-            held = set(zip(text.tolist(), places[hits].tolist()))
-            for i, k in sorted(held, key=lambda x: (x[0], words[x[1]])):  # one order in every partitioning
+            held = {(i, words[k].as_py(), k) for i, k in set(zip(text.tolist(), places[hits].tolist()))}
+            for i, word, k in sorted(held):  # one order in every partitioning
                 rest[i] *= 1 - p[k]
-                read[i].extend((words[k], t) for t in readings(words[k], reader.model) if signs.chance(t) > 0)
-            for i, runs in reader.spaced(words, places, starts):
+                read[i].extend((word, t) for t in readings(word, reader.model) if signs.chance(t) > 0)
+            for i, runs in reader.spaced(_singles(words, core), places, starts):
                 found = {
                     letters[a : a + n]
                     for letters in runs
