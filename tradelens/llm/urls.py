@@ -9,7 +9,8 @@ left are templates; one is rejected if its share of blocked labels, smoothed
 towards its host's and that towards the whole table's, reaches a half.
 
 All steps are aggregations over shapes, and the hottest host is summed up before
-it is shuffled. Paths deeper than ``DEPTH`` segments share a last wildcard.
+it is shuffled. Trees are as deep as labels differ, and ``DEPTH`` levels at least:
+below the deepest node with both labels the rest of a path is one wildcard.
 """
 
 from __future__ import annotations
@@ -73,10 +74,27 @@ def _typed(segment: Column) -> Column:
 
 
 def _segments(path: Column) -> Column:
-    """At most DEPTH typed segments, the rest as one wildcard."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    first = F.transform(F.slice(parts, 1, DEPTH), _typed)
-    return F.when(F.size(parts) > DEPTH, F.concat(first, F.array(F.lit("**")))).otherwise(first)
+    """All segments, typed."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), _typed)
+
+
+def _cut(segments: Column, depth: int) -> Column:
+    """The first ``depth`` segments, and what is left as one wildcard."""
+    return F.when(F.size(segments) > depth, F.concat(F.slice(segments, 1, depth), F.array(F.lit("**")))).otherwise(segments)
+
+
+def tree_depth(pages: DataFrame) -> int:
+    """The level, ``DEPTH`` at least, below which no node of (host, segments, label) rows holds both labels."""
+    depth, below = DEPTH, pages.where("label IS NOT NULL")
+    while True:
+        node = [F.col("host"), F.slice("segments", 1, depth).alias("node")]
+        below = below.where(F.size("segments") > depth)
+        mixed = below.groupBy(*node).agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+        mixed = written(mixed.select("host", "node"), "mixed")
+        if mixed.isEmpty():
+            return depth
+        below = written(below.join(mixed, (below.host == mixed.host) & (F.slice(below.segments, 1, depth) == mixed.node), "left_semi"), "below")
+        depth += 1
 
 
 def _generalised(shapes: DataFrame, level: int) -> DataFrame:
@@ -130,7 +148,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked")
     )
     shapes = written(shapes.withColumn("tree", F.col("shape")), "shapes")
-    deepest = shapes.agg(F.max(F.size("tree"))).first()[0] or 0  # at most DEPTH + 1
+    deepest = shapes.agg(F.max(F.size("tree"))).first()[0] or 0
     for level in range(1, deepest + 1):
         shapes = written(_generalised(shapes, level), "shapes")
     for level in range(deepest, 0, -1):
@@ -164,8 +182,10 @@ def judge_urls(
         F.col(id).alias("id"), host.alias("host"), path.alias("path"), (F.col(label) if label else F.lit(None)).cast("int").alias("given")
     )
     fits, verdict = rule_of(F.col("host"), F.col("path"), RULES if rules is None else rules)
-    rows = rows.select("*", fits.alias("rule"), verdict.alias("ruled"), _segments(F.col("path")).alias("shape"))
+    rows = rows.select("*", fits.alias("rule"), verdict.alias("ruled"), _segments(F.col("path")).alias("segments"))
     labels = F.coalesce("given", F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0))
+    depth = tree_depth(rows.select("host", "segments", labels.alias("label")))
+    rows = rows.withColumn("shape", _cut(F.col("segments"), depth)).drop("segments")
     known = templates(rows.select("host", "shape", labels.alias("label")))
     out = rows.join(known, ["host", "shape"])
     method = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
