@@ -34,13 +34,15 @@ CLASSES = [
     ("HEX", "0123456789ABCDEF", "^[0-9A-F-]+$", 3.0),
     ("token", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", "", 3.7),
 ]
-# What looks random but is no secret: UUIDs, dates and times, runs of the alphabet, sample values.
+# What looks random but is no secret, cut out wherever it stands: UUIDs, dates, runs of the alphabet, sample values.
 ALLOW = [
-    "^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    "^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "(?i)abcdefgh|0123456789|qwerty",
-    "(?i)example|sample|placeholder|changeme|your[-_]",
+    "(?<![0-9A-Fa-f])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Fa-f])",
+    "(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])",
+    "(?i:abcdefgh|0123456789|qwerty)",
+    "(?i:example|sample|placeholder|changeme|your[-_])",
 ]
+#: Characters of a run that are walked over at once.
+_STRETCH = 1 << 14
 _UNIT = 1_000_000
 _TERMS = [round(_UNIT * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
 
@@ -100,14 +102,47 @@ def _place(symbols: str, char: Column) -> Column:
     return F.call_function("locate", char, F.lit(symbols))
 
 
-def _entropy_spans(found: Column) -> Column:
+def _pieces(run: Column, base: Column) -> Column:
+    """What is left of a run without allowed parts and base spans: start, text, in order."""
     allowed = "|".join(f"(?:{a})" for a in ALLOW)
-    found = F.filter(found, lambda m: m["text"].rlike("[A-Za-z]") & m["text"].rlike("[0-9]") & ~m["text"].rlike(allowed))
+    known = matches(run["text"], allowed, run["text"].rlike(allowed))
+    known = F.transform(known, lambda m: F.struct((run["start"] + m["start"]).alias("start"), (run["start"] + m["end"]).alias("end")))
+    covered = F.transform(F.filter(base, lambda b: overlaps(run, b)), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+    last = F.array(F.struct(run["end"].alias("start"), run["end"].alias("end")))
+    cuts = F.array_sort(F.concat(known, covered, last))
+    none = F.struct(run["start"].alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out"))
+
+    def step(state: Column, cut: Column) -> Column:
+        free = F.array(F.struct(state["at"].alias("start"), cut["start"].alias("end")))
+        grown = F.when(cut["start"] - state["at"] >= WINDOW, F.concat(state["out"], free)).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], cut["end"]).alias("at"), grown.alias("out"))
+
+    free = F.aggregate(cuts, none, step, lambda s: s["out"])
+    return F.transform(
+        free, lambda p: F.struct(p["start"].alias("start"), F.substring(run["text"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("text"))
+    )
+
+
+def _hot_stretches(text: Column, symbols: str, least: float) -> Column:
+    """``_hot`` of a text of any length: stretches that overlap by a window are walked one by one."""
+    begins = F.sequence(F.lit(0), F.greatest(F.lit(0), F.char_length(text) - WINDOW), F.lit(_STRETCH))
+
+    def stretch(b: Column) -> Column:
+        found = _hot(F.substring(text, b + 1, F.lit(_STRETCH + WINDOW - 1)), symbols, least)
+        return let(found, lambda h: F.struct((b + h["first"]).alias("first"), (b + h["last"]).alias("last"), (h["first"] > 0).alias("hot")))
+
+    found = F.filter(F.transform(begins, stretch), lambda h: h["hot"])
+    return let(found, lambda f: F.struct(F.coalesce(F.array_min(F.transform(f, lambda h: h["first"])), F.lit(0)).alias("first"), F.coalesce(F.array_max(F.transform(f, lambda h: h["last"])), F.lit(0)).alias("last")))
+
+
+def _entropy_spans(found: Column, base: Column) -> Column:
+    pieces = F.flatten(F.transform(found, lambda run: _pieces(run, base)))
+    pieces = F.filter(pieces, lambda m: m["text"].rlike("[A-Za-z]") & m["text"].rlike("[0-9]"))
 
     def span(m: Column) -> Column:
         hot = F.lit(None)
         for _, symbols, holds, least in reversed(CLASSES):
-            here = _hot(m["text"], symbols, least)
+            here = _hot_stretches(m["text"], symbols, least)
             hot = F.when(m["text"].rlike(holds), here).otherwise(hot) if holds else here
         return let(
             hot,
@@ -116,7 +151,7 @@ def _entropy_spans(found: Column) -> Column:
             ),
         )
 
-    return F.filter(F.transform(found, span), lambda m: m["hot"])
+    return F.filter(F.transform(pieces, span), lambda m: m["hot"])
 
 
 def _all_spans(text: Column) -> Column:
@@ -128,12 +163,9 @@ def _all_spans(text: Column) -> Column:
         of_kind("access", F.filter(matches(text, ACCESS, F.contains(text, F.lit("AKIA"))), lambda m: F.char_length(m["text"]) >= 20), True),
         of_kind("hex", matches(text, HEX, long_run & text.rlike("[0-9a-f]{24}")), True),
     )
-    more = of_kind("entropy", _entropy_spans(matches(text, CANDIDATE, long_run & text.rlike("[0-9]"))), False)
-    both = F.struct(base.alias("base"), more.alias("more"))
-    return let(
-        both,
-        lambda z: F.concat(z["base"], F.filter(z["more"], lambda m: ~F.exists(z["base"], lambda b: overlaps(m, b)))),
-    )
+    runs = matches(text, CANDIDATE, long_run & text.rlike("[0-9]"))
+    both = F.struct(base.alias("base"), runs.alias("runs"))
+    return let(both, lambda z: F.concat(z["base"], of_kind("entropy", _entropy_spans(z["runs"], z["base"]), False)))
 
 
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
