@@ -4,10 +4,11 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers. Looser
 patterns propose more spans. Four labelers (strict formats, gazetteers, context
 words, surroundings) vote on every span, base or proposed: 1 for, 0 against, -1
 abstains. Expectation-maximisation estimates the labelers' reliabilities from
-the counts of vote patterns over the whole corpus; the posteriors then train a
-naive Bayes classifier of spans, which decides on the proposed ones. Base spans
-always stay. The main path has built-in functions only; the driver sees counts
-of patterns, whose number is bounded by kinds, votes and length classes.
+the counts of vote patterns over the whole corpus. The posteriors then train a
+naive Bayes classifier of spans, which also sees what no labeler does (a span's
+shape, the words and characters around it) and decides on the proposed ones. Base
+spans always stay. The main path has built-in functions only; the driver sees
+counts of vote patterns and feature values, whose number is bounded.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ _PRIOR_PART = 0.1
 #: Smoothing of the classifier: how many spans of all kinds a kind's own are mixed with, and values of a feature.
 _POOLED = 4.0
 _VALUES = 4
+#: Values that words beside a span are hashed to.
+_WORDS = 256
 LABELERS = ["format", "gazetteer", "context", "edges"]
 
 # The base patterns, with possessive repeats and starts at the beginning of a run only (or where the
@@ -107,16 +110,38 @@ def _votes(kind: str, m: Column) -> list[Column]:
     return [strict, listed, context, edges]
 
 
+def _word(text: Column, pattern: str) -> Column:
+    """The word that a pattern finds at an end of ``text``, as one of ``_WORDS`` numbers; none and digits apart."""
+    word = F.regexp_extract(F.lower(text), pattern, 1)
+    number = F.pmod(F.xxhash64(word), F.lit(_WORDS)).cast("string")
+    return F.when(word == "", "-").when(word.rlike("^[0-9]"), "9").otherwise(number)
+
+
+def _side(char: Column) -> Column:
+    """The class of the character beside a span."""
+    return F.when(char == "", "none").when(char.rlike(r"[\p{L}]"), "letter").when(char.rlike("[0-9]"), "digit").when(char.rlike(r"\s"), "space").otherwise("sign")
+
+
+def _features(m: Column, size: Column) -> list[Column]:
+    """Length and shape of a span (groups of digits and the signs in it), the word before it, and the characters beside it."""
+    ending = F.right(m["text"], F.lit(4 * CONTEXT))
+    groups = F.least(F.size(F.regexp_extract_all(ending, F.lit("[0-9]+"), F.lit(0))), F.lit(5)).cast("string")
+    signs = [F.when(ending.rlike(c), F.lit(n)).otherwise("") for n, c in (("s", " "), ("d", r"\."), ("h", "-"), ("p", r"[()]"), ("+", r"\+"), ("@", "@"))]
+    return [size, F.concat(groups, *signs), _word(m["before"], r"([\p{L}\p{N}]+)[^\p{L}\p{N}]*$"), _side(F.right(m["before"], F.lit(1))), _side(m["after"])]
+
+
 def _spans(kind: str, found: Column, base: bool) -> Column:
     def span(m: Column) -> Column:
         votes = [v.cast("string") for v in _votes(kind, m)]
         size = F.least(F.floor((m["end"] - m["start"]) / 4), F.lit(8)).cast("string")
+        seen = [*votes, *_features(m, size)]
         return F.struct(
             F.lit(kind).alias("kind"),
             m["start"].alias("start"),
             m["end"].alias("end"),
             F.lit(base).alias("base"),
-            F.concat_ws("|", F.lit(kind), *votes, size).alias("pattern"),
+            F.concat_ws("|", F.lit(kind), *votes).alias("pattern"),
+            F.array(*[F.concat(F.lit(f"{kind}|{i}="), f) for i, f in enumerate(seen)]).alias("features"),
         )
 
     return F.transform(found, span)
@@ -174,28 +199,30 @@ def estimate(patterns: dict[str, int]) -> dict[str, float]:
     return post
 
 
-def classifier(patterns: dict[str, int]) -> dict[str, float]:
-    """Log odds of every pattern under naive Bayes on votes and length, trained on the posteriors."""
-    post = estimate(patterns)
+def classifier(counts: dict[tuple[str, str], int]) -> dict[str, float]:
+    """Log odds of every kind and of every feature ``kind|number=value``, under naive Bayes trained on the posteriors.
+
+    ``counts``: spans by vote pattern and feature; under the feature "" all of a pattern.
+    """
+    post = estimate({p: n for (p, f), n in counts.items() if not f})
     # Weights of each class by kind, and by kind and feature; "" pools the kinds.
     weight = defaultdict(float)
-    for p, n in patterns.items():
-        kind, *features = p.split("|")
+    for (p, f), n in counts.items():
         for c, w in ((1, n * post[p]), (0, n * (1 - post[p]))):
-            for k in (kind, ""):
-                weight[c, k] += w
-                for f in enumerate(features):
-                    weight[c, k, f] += w
+            for k in (p.split("|")[0], ""):
+                weight[c, k, f.partition("|")[2]] += w
 
-    def chance(c: int, kind: str, f: tuple[int, str]) -> float:
-        pooled = (weight[c, "", f] + 1 / _VALUES) / (weight[c, ""] + 1)
-        return (weight[c, kind, f] + _POOLED * pooled) / (weight[c, kind] + _POOLED)
+    def chance(c: int, kind: str, f: str) -> float:
+        pooled = (weight[c, "", f] + 1 / _VALUES) / (weight[c, "", ""] + 1)
+        return (weight[c, kind, f] + _POOLED * pooled) / (weight[c, kind, ""] + _POOLED)
 
     odds = {}
-    for p in patterns:
-        kind, *features = p.split("|")
-        odds[p] = math.log((weight[1, kind] + 1) / (weight[0, kind] + 1))
-        odds[p] += sum(math.log(chance(1, kind, f) / chance(0, kind, f)) for f in enumerate(features))
+    for p, f in counts:
+        kind, value = p.split("|")[0], f.partition("|")[2]
+        if f:
+            odds[f] = math.log(chance(1, kind, value) / chance(0, kind, value))
+        else:
+            odds[kind] = math.log((weight[1, kind, ""] + 1) / (weight[0, kind, ""] + 1))
     return odds
 
 
@@ -208,13 +235,19 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     replaced; no other column but the text is used.
     """
     spans = _all_spans(text_or_empty(text))
-    voted = docs.select(F.explode(F.transform(spans, lambda s: s["pattern"])).alias("pattern"))
-    counts = {r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}
-    odds = classifier(counts)
-    level = math.log(THRESHOLD / (1 - THRESHOLD))
-    taken = sorted(p for p, o in odds.items() if o >= level)
-    accepted = F.array(*map(F.lit, taken)) if taken else F.array().cast("array<string>")
-    kept = F.filter(spans, lambda s: s["base"] | F.array_contains(accepted, s["pattern"]))
+    voted = docs.select(F.inline(F.transform(spans, lambda s: F.struct(s["pattern"].alias("pattern"), s["features"].alias("features")))))
+    told = voted.select("pattern", F.explode(F.concat(F.array(F.lit("")), "features")).alias("feature"))
+    counts = told.groupBy("pattern", "feature").agg(F.count(F.lit(1)).alias("n")).collect()
+    odds = sorted(classifier({(r["pattern"], r["feature"]): r["n"] for r in counts}).items())
+    known = F.map_from_arrays(
+        F.array(*[F.lit(k) for k, _ in odds]).cast("array<string>"), F.array(*[F.lit(v) for _, v in odds]).cast("array<double>")
+    )
+
+    def likely(s: Column) -> Column:
+        of = lambda k: F.coalesce(F.try_element_at(known, k), F.lit(0.0))
+        return F.aggregate(s["features"], of(s["kind"]), lambda total, f: total + of(f)) >= math.log(THRESHOLD / (1 - THRESHOLD))
+
+    kept = F.filter(spans, lambda s: s["base"] | likely(s))
     fields = ("kind", "start", "end", "base")
     return docs.withColumn("pii", F.transform(kept, lambda s: F.struct(*[s[f].alias(f) for f in fields])))
 
