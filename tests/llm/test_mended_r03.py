@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_helpers import edge_docs
 from test_others import BAD, GOOD, brute_nearest, toxic_rows
@@ -46,6 +47,22 @@ def test_words_without_a_sign_on_any_path_need_no_decoding(model):
     assert told > 100  # the comparison is not of zeros only
 
 
+def test_plain_words_without_a_sign_are_told_at_once(model):
+    rng = random.Random(7)
+    signs = toxicity.Signs({"stupid": 0.9, "ass": 0.8, "s1": 0.7, "naïf": 0.6, "日": 0.9, "off": 0.9}, {"idi": 0.95, "scum": 0.9, "éé": 0.9})
+    words = [w for w in written_words(rng, 3000)]
+    words += [rng.choice(["", "(", "¿", '"']) + "".join(c * rng.choice([1, 1, 2, 3]) for c in rng.choice([*signs.words, *signs.beginnings, "Stupidity", "ofen", "ÉÉn"])) + rng.choice(["", "!", ".»"]) for _ in range(2000)]
+    chance = lambda word: max(map(signs.chance, tokens(word, model)), default=0.0)
+    plain, array = toxicity.Plain(signs), pa.array(words)
+    core = plain.core(array)
+    may = plain.may(core)
+    assert all(m or chance(w) == 0 for w, m in zip(words, may.tolist()))
+    assert 200 < may.sum() < len(words) and sum(chance(w) > 0 for w in words) > 200
+    assert toxicity._singles(array, core) == [single(w).lower() if c is not None else single(w) for w, c in zip(words, core.to_pylist())]
+    none = toxicity.Plain(toxicity.Signs({}, {}))
+    assert none.may(none.core(pa.array(["a", "b.", "c1"]))).tolist() == [False, False, True]
+
+
 def plain_decode(model, word, twice=False):
     """Every path with its whole reading."""
     paths = {(0, 0, 0): (0.0, "")}

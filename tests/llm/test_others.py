@@ -151,6 +151,21 @@ def test_url_templates(spark):
     check_urls(spark, rows)
 
 
+@pytest.mark.parametrize("level", [3, 7, 8, 11])
+def test_trees_are_as_deep_as_labels_differ(spark, level):
+    """Branches that differ at one segment only, and at the eighth or deeper one: each keeps its own purity."""
+    rows = []
+    for i in range(240):
+        parts = ["a"] * 14
+        parts[level - 1] = ["good", "bad"][i % 2]
+        rows.append((i, "x://h.com/" + "/".join(parts), i % 2 if i < 200 else None))
+    pages = spark.createDataFrame(rows, "page_id long, url string, told int")
+    got = urls.judge_urls(pages, rules=[], label="told").collect()
+    assert {(r.page_id % 2, r.verdict) for r in got} == {(0, "allow"), (1, "block")} and len(got) == 240
+    deep = urls.judge_urls(spark.createDataFrame([(1, "x://h.com/" + "a/" * 20_000, 1), (2, "x://h.com/b", 0)], pages.schema), rules=[], label="told")
+    assert {r.page_id: r.template for r in deep.collect()} == {1: "/a/a/a/a/a/a/**", 2: "/b"}
+
+
 # ---- neighbours
 
 
