@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from ..session import checkpoint_dir
 from ..sources import store
 from ..sources.lookups import Lookups, write_lookups
 from ..operators.durations import parse_window
-from . import duration_store
+from . import duration_store, scheduled_sync
 from .pipelines import Analysis, EnrichmentRun, analysis, enrichment, new_orders, work_folder
 
 # Fixed query parameters: the analysis window, an earlier sync's cut-off, and two pages.
@@ -35,6 +36,9 @@ WINDOW_END = "1999-12-31"
 EARLIER_SYNC_BEFORE = "1998-01-01"
 WINDOW_INSIDE = ("1994-03-15T10:00:00", "1997-10-20T12:30:00")
 CHUNK_ROWS = 50
+#: A cut inside a month between two runs of the sync job, and the time at which a report without a window is asked for.
+JOB_BEFORE = "1997-06-15T08:00:00"
+ASKED_AT = "1998-06-30T12:00:00"
 PAGE_ALL = (1, 10)
 PAGE_SUCCESSFUL = (2, 20)
 PAGE_DEEP = (500, 20)
@@ -174,6 +178,24 @@ def q_settled_changes(spark, sf_dir):
     return api_view(settle.settled_changes(*tables, changed))
 
 
+def _two_runs(spark, sf_dir, job: Callable[..., DataFrame]) -> DataFrame:
+    """``job(sources, folder, since)`` on a table that does not exist yet, with the orders before a cut; then on all that changed since."""
+    src, folder, cut = state(spark, sf_dir).src, f"{work_folder(spark)}/final_orders", parse_window(JOB_BEFORE)[0]
+    job(replace(src, create_orders=src.create_orders.where(F.col("created_at") < instant(cut))), folder, None)
+    return api_view(job(src, folder, cut))
+
+
+def q_synced_orders(spark, sf_dir):
+    """The analysis table after a sync that creates it and an incremental one."""
+    return _two_runs(spark, sf_dir, lambda src, folder, since: scheduled_sync.sync(spark, src, folder, since))
+
+
+def q_sync_job(spark, sf_dir):
+    """The analysis table after two runs of the whole job, which store orders and replace months with their times."""
+    lookups = state(spark, sf_dir).lookups
+    return _two_runs(spark, sf_dir, lambda src, folder, since: scheduled_sync.run_once(spark, src, folder, since, lookups))
+
+
 def q_rejected_candidates(spark, sf_dir):
     """What the table refuses, with chains that are not supported taken as missing."""
     s = state(spark, sf_dir).src
@@ -231,6 +253,13 @@ def q_order_durations(spark, sf_dir):
     return api_view(dur.to_seconds(state(spark, sf_dir).an.durations_us))
 
 
+def q_default_window_durations(spark, sf_dir):
+    """Durations of the window that a report without dates covers, asked for at ``ASKED_AT``."""
+    start, end = parse_window(None, "", now=parse_window(ASKED_AT)[0])
+    pruned = store.read_orders_table(spark, state(spark, sf_dir).enriched_path, start, end)
+    return api_view(dur.order_durations(pruned, start.isoformat(), end.isoformat()))
+
+
 def q_route_metric_counts(spark, sf_dir):
     return state(spark, sf_dir).an.counts
 
@@ -290,6 +319,12 @@ def q_matched_orders_page(spark, sf_dir):
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL))
 
 
+def q_matched_orders_default_page(spark, sf_dir):
+    """The page that is answered where none is asked for (0 and a missing size take the defaults)."""
+    s = state(spark, sf_dir).src
+    return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 0, None))
+
+
 def q_successful_matched_orders_page(spark, sf_dir):
     s = state(spark, sf_dir).src
     return flat_page(browse.successful_matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_SUCCESSFUL))
@@ -344,6 +379,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "settled_orders": q_settled_orders,
     "append_new_orders": q_append_new_orders,
     "settled_changes": q_settled_changes,
+    "synced_orders": q_synced_orders,
+    "sync_job": q_sync_job,
     "rejected_candidates": q_rejected_candidates,
     "orders_table_schema": q_orders_table_schema,
     "timestamp_candidates": q_timestamp_candidates,
@@ -356,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrichment_summary": q_enrichment_summary,
     "event_time_display": q_event_time_display,
     "order_durations": q_order_durations,
+    "default_window_durations": q_default_window_durations,
     "route_metric_counts": q_route_metric_counts,
     "route_quartiles": q_route_quartiles,
     "route_fences": q_route_fences,
@@ -369,6 +407,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_chunks": q_route_chunks,
     "window_quartiles": q_window_quartiles,
     "matched_orders_page": q_matched_orders_page,
+    "matched_orders_default_page": q_matched_orders_default_page,
     "successful_matched_orders_page": q_successful_matched_orders_page,
     "tied_matches_page": q_tied_matches_page,
     "page_info": q_page_info,
