@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SUPPORTED_CHAINS
+from ..config import COMPRESSION, SUPPORTED_CHAINS
 from ..functions.columns import instant
 from ..operators.durations import order_durations_us, parse_window
 from ..operators.quantiles import merged_histograms, metric_values, quartiles_of, route_histograms
@@ -33,7 +33,7 @@ def refresh(final_orders: DataFrame, root: str, chains: tuple[str, ...] = SUPPOR
     spark = final_orders.sparkSession
 
     def replace(rows: DataFrame, name: str) -> None:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
         writer.partitionBy(PARTITION_COLUMN).parquet(f"{root}/{name}")
 
     months = final_orders.select(month_of("created_at").alias(PARTITION_COLUMN)).distinct()

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import SUPPORTED_CHAINS
+from ..config import COMPRESSION, SUPPORTED_CHAINS
 from ..operators import durations as dur
 from ..operators import enrich, quantiles, routes, settle
 from ..session import checkpoint_dir
@@ -46,7 +46,7 @@ def enrichment(final_orders: DataFrame, sources: Sources | Lookups, work: str |
     """
     requests = enrich.lookup_requests(final_orders)
     if work is not None:
-        requests.write.parquet(f"{work}/requests")
+        requests.write.option("compression", COMPRESSION).parquet(f"{work}/requests")
         requests = requests.sparkSession.read.schema(requests.schema).parquet(f"{work}/requests")
     resolved = enrich.resolve_all(requests, sources.blocks, sources.transactions, work and f"{work}/staged")
     return EnrichmentRun(
@@ -92,7 +92,7 @@ def analysis(
     """The analysis of a window; the durations are written once, to ``work`` or a fresh folder."""
     d = dur.order_durations_us(final_orders, start_time, end_time, chains)
     path = f"{work or work_folder(final_orders.sparkSession)}/durations"
-    d.write.parquet(path)
+    d.write.option("compression", COMPRESSION).parquet(path)
     d = final_orders.sparkSession.read.schema(d.schema).parquet(path)
     q = quantiles.route_quartiles_us(d)
     return Analysis(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import SUPPORTED_CHAINS
+from ..config import COMPRESSION, SUPPORTED_CHAINS
 from ..functions.columns import instant, iso_utc
 from ..operators import browse, enrich, routes, settle
 from ..operators import durations as dur
@@ -83,26 +83,38 @@ class _State:
         self.window = parse_window(WINDOW_START, WINDOW_END)
 
     @cached_property
-    def src(self) -> Sources:
-        derived = derive_sources(self.spark, self.sf_dir)
+    def derived(self) -> Sources:
+        return derive_sources(self.spark, self.sf_dir)
+
+    def _written(self, *names: str) -> dict[str, DataFrame]:
         tables = {}
-        for name in ("create_orders", "matched_orders", "swaps", "blocks", "transactions"):
+        for name in names:
             path = f"{self.base}/{name}"
-            getattr(derived, name).write.parquet(path)
+            getattr(self.derived, name).write.option("compression", COMPRESSION).parquet(path)
             tables[name] = self.spark.read.parquet(path)
-        return Sources(**tables)
+        return tables
+
+    @cached_property
+    def book(self) -> Sources:
+        """The order book's tables as written; blocks and transactions, which ``lookups`` hold, are left as they are derived."""
+        return replace(self.derived, **self._written("create_orders", "matched_orders", "swaps"))
+
+    @cached_property
+    def src(self) -> Sources:
+        """All source tables as written."""
+        return replace(self.book, **self._written("blocks", "transactions"))
 
     @cached_property
     def lookups(self) -> Lookups:
         """The lookup tables in buckets, as recurring runs read them."""
         name = f"tradelens_{uuid.uuid4().hex}"
-        return write_lookups(self.spark, self.src.blocks, self.src.transactions, f"{self.base}/lookups", name)
+        return write_lookups(self.spark, self.derived.blocks, self.derived.transactions, f"{self.base}/lookups", name)
 
     @cached_property
     def stored(self) -> DataFrame:
         """The analysis table after one sync into an empty table."""
         path = f"{self.base}/final_orders_synced"
-        store.write_orders(new_orders(self.src, existing=None), path, "errorifexists")
+        store.write_orders(new_orders(self.book, existing=None), path, "errorifexists")
         return store.read_orders_table(self.spark, path)
 
     @cached_property
@@ -158,13 +170,13 @@ def state(spark: SparkSession, sf_dir: str, base: str | None = None) -> _State:
 
 
 def q_settled_orders(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return api_view(settle.settled_orders(s.create_orders, s.matched_orders, s.swaps))
 
 
 def q_append_new_orders(spark, sf_dir):
     st = state(spark, sf_dir)
-    candidates = settle.settled_orders(st.src.create_orders, st.src.matched_orders, st.src.swaps)
+    candidates = settle.settled_orders(st.book.create_orders, st.book.matched_orders, st.book.swaps)
     earlier = settle.first_per_order(
         candidates.where(F.col("created_at") < instant(parse_window(EARLIER_SYNC_BEFORE)[0]))
     )
@@ -172,7 +184,7 @@ def q_append_new_orders(spark, sf_dir):
 
 
 def q_settled_changes(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     tables = (s.create_orders, s.matched_orders, s.swaps)
     changed = settle.changed_orders(*tables, parse_window(EARLIER_SYNC_BEFORE)[0])
     return api_view(settle.settled_changes(*tables, changed))
@@ -180,7 +192,7 @@ def q_settled_changes(spark, sf_dir):
 
 def _two_runs(spark, sf_dir, job: Callable[..., DataFrame]) -> DataFrame:
     """``job(sources, folder, since)`` on a table that does not exist yet, with the orders before a cut; then on all that changed since."""
-    src, folder, cut = state(spark, sf_dir).src, f"{work_folder(spark)}/final_orders", parse_window(JOB_BEFORE)[0]
+    src, folder, cut = state(spark, sf_dir).book, f"{work_folder(spark)}/final_orders", parse_window(JOB_BEFORE)[0]
     job(replace(src, create_orders=src.create_orders.where(F.col("created_at") < instant(cut))), folder, None)
     return api_view(job(src, folder, cut))
 
@@ -198,7 +210,7 @@ def q_sync_job(spark, sf_dir):
 
 def q_rejected_candidates(spark, sf_dir):
     """What the table refuses, with chains that are not supported taken as missing."""
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     candidates = settle.settled_orders(s.create_orders, s.matched_orders, s.swaps)
     for side in ("source_chain", "destination_chain"):
         candidates = candidates.withColumn(side, F.when(F.col(side).isin(list(SUPPORTED_CHAINS)), F.col(side)))
@@ -315,45 +327,45 @@ def q_window_quartiles(spark, sf_dir):
 
 
 def q_matched_orders_page(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL))
 
 
 def q_matched_orders_default_page(spark, sf_dir):
     """The page that is answered where none is asked for (0 and a missing size take the defaults)."""
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, 0, None))
 
 
 def q_successful_matched_orders_page(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return flat_page(browse.successful_matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_SUCCESSFUL))
 
 
 def q_matched_orders_deep_page(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return flat_page(browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_DEEP))
 
 
 def q_tied_matches_page(spark, sf_dir):
     """A page of matches that share their time with many others, as after a bulk import."""
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     us = F.unix_micros("created_at")
     tied = s.matched_orders.withColumn("created_at", F.timestamp_micros(us - F.pmod(us, F.lit(TIED_DAYS * 86_400_000_000))))
     return flat_page(browse.matched_orders_page(tied, s.create_orders, s.swaps, *PAGE_TIED))
 
 
 def q_page_info(spark, sf_dir):
-    return browse.page_info(state(spark, sf_dir).src.matched_orders, *PAGE_ALL)
+    return browse.page_info(state(spark, sf_dir).book.matched_orders, *PAGE_ALL)
 
 
 def q_listable_items(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     return browse.listable_items(s.matched_orders, s.create_orders, s.swaps)
 
 
 def q_matched_page_document(spark, sf_dir):
-    s = state(spark, sf_dir).src
+    s = state(spark, sf_dir).book
     page = browse.matched_orders_page(s.matched_orders, s.create_orders, s.swaps, *PAGE_ALL)
     return browse.page_document(page, browse.page_info(s.matched_orders, *PAGE_ALL))
 

@@ -145,8 +145,11 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         ),
     )
     bn = F.col("block_number")
+    # A block's time follows from its number and a chain's hashes lie together: only the keys are compared and shuffled.
     blocks = (
         legs.where((bn > 0) & (bn % 53 != 0))
+        .select("chain", "block_number")
+        .distinct()
         .select(
             "chain",
             "block_number",
@@ -155,7 +158,6 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
             .otherwise((bn + EPOCH_SHIFT).cast("string"))
             .alias("block_time_raw"),
         )
-        .distinct()
     )
     transactions = (
         legs.where(
@@ -170,8 +172,14 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
             .otherwise(F.col("tx_hash"))
             .alias("tx_hash"),
             "block_number",
-            F.when((F.col("chain") == "bitcoin") & (bn % 7 != 0), bn + EPOCH_SHIFT).alias("block_time"),
         )
+        .repartition("chain", "tx_hash")
         .distinct()
+        .select(
+            "chain",
+            "tx_hash",
+            "block_number",
+            F.when((F.col("chain") == "bitcoin") & (bn % 7 != 0), bn + EPOCH_SHIFT).alias("block_time"),
+        )
     )
     return Sources(create_orders, matched_orders, swaps, blocks, transactions)

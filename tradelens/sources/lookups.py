@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import COMPRESSION
 from ..operators.enrich import block_times, tx_records
 
 BLOCK_KEYS = ("chain", "block_number")
@@ -34,7 +35,7 @@ def _buckets(spark: SparkSession, buckets: int | None) -> int:
 
 def _store(rows: DataFrame, keys: tuple[str, ...], name: str, path: str, buckets: int, mode: str) -> DataFrame:
     writer = rows.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
-    writer.format("parquet").option("path", path).saveAsTable(name)
+    writer.format("parquet").option("compression", COMPRESSION).option("path", path).saveAsTable(name)
     return rows.sparkSession.table(name)
 
 

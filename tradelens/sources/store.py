@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..config import COMPRESSION
 from ..functions.columns import missing_time_gate, utc_date
 from .schemas import FINAL_ORDER_COLUMNS, FINAL_ORDERS
 
@@ -57,6 +58,12 @@ def months_of(rows: DataFrame) -> list[datetime.date]:
     return sorted(r[0] for r in rows.select(month_of("created_at")).distinct().collect() if r[0] is not None)
 
 
+def stored_months(spark: SparkSession, path: str, months: list[datetime.date]) -> list[datetime.date]:
+    """Those of ``months`` in which the table has a row."""
+    found = _stored(spark, path).where(F.col(PARTITION_COLUMN).isin(months)).select(PARTITION_COLUMN).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
 def _laid_out(df: DataFrame) -> DataFrame:
     return df.select(*FINAL_ORDER_COLUMNS, month_of("created_at").alias(PARTITION_COLUMN), missing_time_gate().alias(OPEN_COLUMN))
 
@@ -91,7 +98,7 @@ def write_orders(df: DataFrame, path: str, mode: str = "append") -> None:
     writes files for one or two months only.
     """
     clustered = df.select(*FINAL_ORDER_COLUMNS).repartitionByRange("created_at", "create_order_id")
-    _laid_out(clustered).write.mode(mode).partitionBy(*_LAYOUT).parquet(path)
+    _laid_out(clustered).write.mode(mode).option("compression", COMPRESSION).partitionBy(*_LAYOUT).parquet(path)
 
 
 def write_snapshot(untouched: DataFrame, changed: DataFrame, path: str) -> None:
@@ -102,7 +109,7 @@ def write_snapshot(untouched: DataFrame, changed: DataFrame, path: str) -> None:
     """
     clustered = changed.select(*FINAL_ORDER_COLUMNS).repartitionByRange("created_at", "create_order_id")
     both = untouched.select(*FINAL_ORDER_COLUMNS).unionByName(clustered)
-    _laid_out(both).write.mode("errorifexists").partitionBy(*_LAYOUT).parquet(path)
+    _laid_out(both).write.mode("errorifexists").option("compression", COMPRESSION).partitionBy(*_LAYOUT).parquet(path)
 
 
 def replace_months(spark: SparkSession, rows: DataFrame, months: list[datetime.date], path: str, staging: str) -> None:
@@ -117,4 +124,5 @@ def replace_months(spark: SparkSession, rows: DataFrame, months: list[datetime.d
     closed = [(m, True) for m in months if m not in still_open]
     if closed:
         staged = staged.unionByName(spark.createDataFrame(closed, f"{PARTITION_COLUMN} date, {OPEN_COLUMN} boolean"), allowMissingColumns=True)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_LAYOUT).parquet(path)
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+    writer.partitionBy(*_LAYOUT).parquet(path)
