@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EVENT_SIDE, EVENTS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
+from ..config import COMPRESSION, EVENT_SIDE, EVENTS, SUPPORTED_CHAINS, TX_LOOKUP_CHAINS
 from ..functions.columns import epoch_to_timestamp, hex_to_long, ist_display, missing_time_gate, present, tx_hash_head
 from ..sources.schemas import FINAL_ORDER_COLUMNS
 from .joins import hot_keys, lookup_join
@@ -160,7 +160,7 @@ def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | N
         # a hash that matches nothing, unique per request
         tx_salt = F.concat(F.lit("\u0000"), F.col("create_order_id"), F.lit("\u0000"), F.col("event"))
         tx = lookup_join(
-            tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_keys(tx_req, ["chain", "tx_hash"]), tx_salt
+            tx_req, tx_records(transactions), ["chain", "tx_hash"], hot_keys(tx_req, ["chain", "tx_hash"]), tx_salt, [*_OUT[:3], "block_number"]
         )
         is_btc = F.col("chain") == "bitcoin"
         blk = (
@@ -171,18 +171,19 @@ def _resolve(requests: DataFrame, blocks: DataFrame, transactions: DataFrame | N
         staged = staged.unionByName(tx.select(*_OUT[:3], blk.alias("blk"), tx_time.alias("tx_time")))
     # Rows with no block to look up keep a salted negative key: they spread evenly
     # over the shuffle (a NULL key would send them all to one task) and match no
-    # block (block numbers are never negative).
-    salt = -(F.pmod(F.xxhash64("create_order_id", "event"), F.lit(1 << 30)) + 1)
+    # block (no block number is as low). Of a request's block and its tx's time one
+    # is NULL, so the key need not travel beside its copy to tell them apart.
+    salt = F.lit(-(1 << 62)) - F.pmod(F.xxhash64("create_order_id", "event"), F.lit(1 << 30))
+    if staged_path is not None:
+        staged.write.option("compression", COMPRESSION).parquet(staged_path)
+        staged = staged.sparkSession.read.schema(staged.schema).parquet(staged_path)
     keyed = staged.withColumn("k", F.coalesce(F.col("blk"), salt))
     bt = block_times(blocks).withColumnRenamed("block_number", "k")
-    if staged_path is not None:
-        keyed.write.parquet(staged_path)
-        keyed = keyed.sparkSession.read.schema(keyed.schema).parquet(staged_path)
     # counted on the blocks that are really joined
     hot_blocks = hot_keys(keyed.where(F.col("blk").isNotNull()).select("chain", "k"), ["chain", "k"])
     found = F.when(_truthy(F.col("found_time")), F.col("found_time"))
-    return lookup_join(keyed, bt, ["chain", "k"], hot_blocks, salt).select(
-        *_OUT[:3], F.when(F.col("blk").isNotNull(), found).otherwise(F.col("tx_time")).alias("block_time")
+    return lookup_join(keyed, bt, ["chain", "k"], hot_blocks, salt, [*_OUT[:3], "tx_time"]).select(
+        *_OUT[:3], F.coalesce(found, F.col("tx_time")).alias("block_time")
     )
 
 

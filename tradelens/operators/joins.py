@@ -30,7 +30,9 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return top.select(*[parts[i].cast(kind).alias(k) for i, (k, kind) in enumerate(zip(keys, kinds))])
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt: Column) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt: Column, keep: list[str] | None = None
+) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``keys``, where ``right`` has one row per key.
 
     ``hot`` lists keys that may hold many left rows (any set gives the same
@@ -38,7 +40,8 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFra
     rows - are broadcast and joined map-side. The left rows of hot keys then
     enter the shuffle join under ``salt`` instead of their key: a value unique
     per row that matches no right key. So the shuffle spreads them evenly and
-    no task receives a hot key, and ``left`` is read once.
+    no task receives a hot key, and ``left`` is read once. ``keep`` names the left
+    columns of the result (default all); the last key travels once if it is not among them.
     """
     last = keys[-1]
     values = [c for c in right.columns if c not in keys]
@@ -53,6 +56,6 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFra
     cold = right.withColumnRenamed(last, "_k")
     j = routed.join(cold, [*keys[:-1], "_k"], "left")
     return j.select(
-        *left.columns,
+        *(keep or left.columns),
         *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values],
     )
