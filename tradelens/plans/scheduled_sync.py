@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import COMPRESSION
 from ..functions.columns import missing_time_gate
 from ..operators import enrich, settle
 from ..sources import store
@@ -29,7 +30,7 @@ from .pipelines import work_folder
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,10 +48,16 @@ def not_stored(spark: SparkSession, found: DataFrame, root: str) -> DataFrame:
     """The candidates whose order the table does not hold.
 
     An order's ``created_at`` is its own and never changes, so only the months
-    that hold a candidate are read.
+    that hold a candidate are read. Candidates of months without a stored row are
+    all new and meet no join.
     """
-    stored = store.read_months(spark, root, store.months_of(found)).select("create_order_id")
-    return found.join(stored, "create_order_id", "left_anti")
+    held = store.stored_months(spark, root, store.months_of(found))
+    if not held:
+        return found
+    month = store.month_of("created_at")
+    among = F.coalesce(month.isin(held), F.lit(True))
+    stored = store.read_months(spark, root, held).select("create_order_id")
+    return found.where(among).join(stored, "create_order_id", "left_anti").unionByName(found.where(~among))
 
 
 def sync(spark: SparkSession, sources: Sources, root: str, since=None) -> DataFrame:
@@ -65,7 +72,7 @@ def enrich_months(spark: SparkSession, lookups: Sources | Lookups, root: str) ->
     """Fill missing event times; replaces only months that hold an order with a time found for it."""
     work = work_folder(spark)
     store.ensure_table(spark, root)
-    waiting = _written(store.read_orders_table(spark, root, only_open=True).where(missing_time_gate()), f"{work}/candidates")
+    waiting = store.read_orders_table(spark, root, only_open=True).where(missing_time_gate())
     resolved = enrich.resolve_all(enrich.lookup_requests(waiting), lookups.blocks, lookups.transactions, f"{work}/requests")
     found = _written(resolved.where(F.col("block_time").isNotNull()), f"{work}/found")
     touched = store.months_of(waiting.join(found, "create_order_id", "left_semi"))
