@@ -31,15 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows_per_file: int | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared directory and read it back.
 
     Cuts the lineage in a way that outlives any executor. Each call writes its
     own folder, so nothing is ever reused between calls, sessions or inputs.
+    Large rows need ``rows_per_file``: Parquet looks at its buffer's size only
+    after 100 rows, and a task reads a whole row group at least.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tradelens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,10 @@ rests it bounds every distance from both sides. Pairs whose lower
 bound exceeds the query's k-th smallest upper bound cannot be among its nearest;
 the others are computed anew in double precision from the original vectors and
 merged by heaps, per tile and then per query. The result is exact.
+
+Candidate blocks stay where they are written. Query blocks come to them by
+broadcast, in passes of bounded size, so neither the driver nor a shuffle holds
+a copy of the vectors for every tile.
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ from .common import map_arrow, written
 K = 10
 CANDIDATE_ROWS = 8192
 QUERY_ROWS = 1024
+#: Of query vectors that the driver and every executor hold at once.
+PASS_BYTES = 16 << 20
+_FILE_BLOCKS = 4
 _CHUNK = 64
 _SLICE = 1024
 _BLOCK = "ids array<bigint>, rows array<bigint>, vectors binary, dim int"
@@ -135,6 +142,7 @@ def nearest(
     k: int = K,
     candidate_rows: int = CANDIDATE_ROWS,
     query_rows: int = QUERY_ROWS,
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """query_id, rank (from 1), ``id``, score: the ``k`` nearest rows of each row that ``queries`` selects.
 
@@ -144,30 +152,42 @@ def nearest(
     whose vector is null, empty, zero or holds null or non-finite components
     take no part; vectors of different lengths are never compared. An empty
     table gives an empty result.
+
+    The candidates are read once for each ``pass_bytes`` of query vectors.
     """
     x = F.col(vector).cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     valid = F.col(id).isNotNull() & x.isNotNull() & ~bad & F.exists(x, lambda v: v != 0)
     rows = vectors.where(valid).select(F.col(id).cast("long").alias("id"), queries.alias("asked"), x.alias("x"))
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    candidates = written(map_arrow(rows.select("id", "row", "x"), _pack(candidate_rows), _BLOCK), "candidates")
-    # Queries are dealt into blocks by number, so that a block is full whatever part of a file they are.
-    asked = rows.where("asked").select("id", "row", "x")
-    parts = max(1, -(-asked.count() // query_rows))
-    asked = map_arrow(asked.repartition(parts, F.xxhash64("row")), _pack(query_rows), _BLOCK)
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("size", F.size("x")), "vectors")
+    candidates = map_arrow(rows.select("id", "row", "x"), _pack(candidate_rows), _BLOCK)
+    candidates = written(candidates, "candidates", rows_per_file=_FILE_BLOCKS)  # tiles are dealt to tasks by file
+    candidates = candidates.select("dim", F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), F.col("vectors").alias("c_vectors"))
+    # Queries are dealt into blocks by number, so that a block is full whatever part of a file they are,
+    # and blocks into passes by the task that packs them, as many tasks to each pass.
+    asked = rows.where("asked")
+    count, components = asked.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    passes = max(1, -(-8 * components // pass_bytes))
+    parts = passes * max(1, -(-count // (passes * query_rows)))
+    asked = map_arrow(asked.select("id", "row", "x").repartition(parts, F.xxhash64("row")), _pack(query_rows), _BLOCK)
+    asked = asked.withColumn("number", F.monotonically_increasing_id()).withColumn("pass", F.spark_partition_id() % passes)
     asked = written(asked, "queries")
-    # Every query block meets every candidate block of its dimension. Candidate blocks are numbered
-    # within theirs, so that the join is on a block, not on the dimension that all may share.
-    right = written(candidates.withColumn("key", F.monotonically_increasing_id()), "blocks")
-    number = F.row_number().over(Window.partitionBy("dim").orderBy("key")).alias("number")  # of keys, one for 8,192 rows
-    numbered = written(right.select("key", "dim", number), "block-numbers")
-    counts = numbered.groupBy("dim").agg(F.max("number").alias("blocks"))  # a row for each length of vectors
-    right = right.join(numbered, ["key", "dim"]).select(
-        "dim", "number", F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"), F.col("vectors").alias("c_vectors")
-    )
-    left = asked.join(F.broadcast(counts), "dim").withColumn("number", F.explode(F.sequence(F.lit(1), "blocks")))
-    work = left.join(right, ["dim", "number"]).select("ids", "rows", "vectors", "dim", "c_ids", "c_rows", "c_vectors")
-    found = map_arrow(work, _tiles(k), "row long, query_id long, score double, vec_id long, vec_row long")
-    order = Window.partitionBy("row").orderBy("score", "vec_id", "vec_row")
-    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", F.col("vec_id").alias(id), "score")
+
+    def nearest_of_pass(n: int) -> DataFrame:
+        # Every candidate block meets every query block of its dimension. It takes their numbers first, so that the
+        # join is on a block, not on the dimension that all may share. Spark's estimate of a join knows nothing of
+        # the rows that explode makes, so the side that is broadcast is the one without it.
+        left = asked.where(F.col("pass") == n).drop("pass")
+        numbers = left.groupBy("dim").agg(F.collect_list("number").alias("numbers"))  # a row for each length of vectors
+        right = candidates.join(F.broadcast(numbers), "dim").withColumn("number", F.explode("numbers")).drop("numbers")
+        work = right.join(F.broadcast(left), ["dim", "number"]).select("ids", "rows", "vectors", "dim", "c_ids", "c_rows", "c_vectors")
+        found = map_arrow(work, _tiles(k), "row long, query_id long, score double, vec_id long, vec_row long")
+        order = Window.partitionBy("row").orderBy("score", "vec_id", "vec_row")
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return found.select("query_id", "rank", F.col("vec_id").alias(id), "score")
+
+    # All of a query's rows are in one pass. One is worked off after the other: together their broadcasts are all queries.
+    out = nearest_of_pass(passes - 1)
+    for n in range(passes - 1):
+        out = out.unionAll(written(nearest_of_pass(n), "nearest"))
+    return out
