@@ -279,7 +279,7 @@ def test_all_are_registered():
 def test_query_matches_sql(spark, name):
     got = queries.QUERIES[name](spark, SMALL)
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = sorted(d[0] for d in want.description)
